@@ -6,11 +6,12 @@ customers are usually small, but one key may hold a large share of all rows.
 
 * light keys (at most ``max_group_rows`` rows, measured by a partial
   aggregate) use a plain window – one exchange, shared by every output;
-* heavy keys are range-partitioned on (key, order columns), so a hot key is
-  spread over many partitions; each partition ranks its own slice and the
+* heavy keys are range-partitioned on (key, value, tie), so a hot key is
+  spread over many partitions; each partition numbers its own slice and the
   slice offsets (a table of at most #heavy keys × #partitions rows) are added
-  back.  Ties of the ``rank`` ordering never straddle partitions because equal
-  range keys always go to the same partition.
+  back.  ``rank('min')`` is 1 + the number of smaller values, taken from a
+  prefix sum over pre-aggregated (key, value) counts joined back on
+  (key, value), so even a single hot value never lands in one task.
 
 Outputs (all null where the value column is null, like the reference):
 ``<prefix>rank``   – rank('min') by the value column,
@@ -32,40 +33,59 @@ MAX_HEAVY_KEYS = 100_000
 
 def _light(df: DataFrame, key: str, value: str, tie: str, prefix: str) -> DataFrame:
     w_all = Window.partitionBy(key)
+    w_val = Window.partitionBy(key).orderBy(F.col(value).asc_nulls_last())
     w_ord = Window.partitionBy(key).orderBy(F.col(value).asc_nulls_last(), F.col(tie))
     v = F.col(value)
     return df.select(
         "*",
-        F.when(v.isNotNull(), F.rank().over(w_ord)).alias(prefix + "rank"),
+        F.when(v.isNotNull(), F.rank().over(w_val)).alias(prefix + "rank"),
         F.when(v.isNotNull(), F.row_number().over(w_ord)).alias(prefix + "ordinal"),
         F.count(v).over(w_all).alias(prefix + "count"),
         F.min(v).over(w_all).alias(prefix + "min"),
     )
 
 
-def _heavy(df: DataFrame, key: str, value: str, tie: str, prefix: str,
-           partitions: int) -> DataFrame:
-    v = F.col(value)
-    stats = df.groupBy(key).agg(F.count(v).alias(prefix + "count"), F.min(v).alias(prefix + "min"))
-    nn = df.filter(v.isNotNull())
-    ranged = (nn.repartitionByRange(partitions, F.col(key), v, F.col(tie))
+def _before(df: DataFrame, key: str, order: list[str], weight: str, partitions: int) -> DataFrame:
+    """Sum of ``weight`` over the rows of the same key that sort strictly before
+    each row by ``order`` (unique within a key) – a distributed prefix sum.
+
+    Rows are range-partitioned on (key, order), so one key spreads over many
+    partitions; each partition computes its local running sum and adds the
+    total of the key's earlier partitions (a table of ≤ keys × partitions rows).
+    """
+    ranged = (df.repartitionByRange(partitions, F.col(key), *[F.col(o) for o in order])
                 .withColumn("_pid", F.spark_partition_id()))
-    w_loc = Window.partitionBy(key, "_pid").orderBy(v, F.col(tie))
-    local = ranged.select("*", F.rank().over(w_loc).alias("_lrank"),
-                          F.row_number().over(w_loc).alias("_lord"))
-    sizes = local.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    w_loc = (Window.partitionBy(key, "_pid").orderBy(*order)
+             .rowsBetween(Window.unboundedPreceding, -1))
+    local = ranged.withColumn("_lb", F.coalesce(F.sum(weight).over(w_loc), F.lit(0)))
+    sizes = ranged.groupBy(key, "_pid").agg(F.sum(weight).alias("_n"))
     offsets = sizes.select(
         key, "_pid",
         F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy("_pid")
                                     .rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
-    ranked = (local.join(F.broadcast(offsets), [key, "_pid"])
-                   .withColumn(prefix + "rank", (F.col("_off") + F.col("_lrank")).cast("int"))
-                   .withColumn(prefix + "ordinal", (F.col("_off") + F.col("_lord")).cast("int"))
-                   .drop("_pid", "_lrank", "_lord", "_off"))
+    return (local.join(F.broadcast(offsets), [key, "_pid"])
+                 .withColumn("_before", F.col("_off") + F.col("_lb"))
+                 .drop("_pid", "_lb", "_off"))
+
+
+def _heavy(df: DataFrame, key: str, value: str, tie: str, prefix: str,
+           partitions: int) -> DataFrame:
+    v = F.col(value)
+    stats = df.groupBy(key).agg(F.count(v).alias(prefix + "count"), F.min(v).alias(prefix + "min"))
+    nn = df.filter(v.isNotNull())
+    # ordinal: position by (value, tie); (key, value, tie) is unique → balanced ranges
+    ordinal = (_before(nn.withColumn("_w", F.lit(1)), key, [value, tie], "_w", partitions)
+               .withColumn(prefix + "ordinal", (F.col("_before") + 1).cast("int"))
+               .drop("_w", "_before"))
+    # rank('min'): 1 + rows with a smaller value, from pre-aggregated distinct values
+    distinct = nn.groupBy(key, value).agg(F.count(F.lit(1)).alias("_w"))
+    ranks = (_before(distinct, key, [value], "_w", partitions)
+             .select(key, value, (F.col("_before") + 1).cast("int").alias(prefix + "rank")))
+    ranked = ordinal.join(ranks, [key, value])
     nulls = (df.filter(v.isNull())
-               .withColumn(prefix + "rank", F.lit(None).cast("int"))
-               .withColumn(prefix + "ordinal", F.lit(None).cast("int")))
+               .withColumn(prefix + "ordinal", F.lit(None).cast("int"))
+               .withColumn(prefix + "rank", F.lit(None).cast("int")))
     return ranked.unionByName(nulls).join(F.broadcast(stats), key)
 
 

@@ -48,3 +48,25 @@ def q_price_rank_hit_rate(spark, sf_dir):
     """Flagship: HitRate@3 of the price-rank scorer over every session (K8)."""
     hr = hit_rate_at_k(price_rank_scored(spark, sf_dir), k=3)
     return hr.select("k", "sessions", "hits", r6(F.col("hit_rate")).alias("hit_rate"))
+
+
+def finalize(df: DataFrame, kinds: dict[str, str], keys=()) -> DataFrame:
+    """Output typing shared with the oracle: doubles rounded to 6 places,
+    integers as BIGINT, strings unchanged."""
+    cols = [F.col(k) for k in keys]
+    for name, kind in kinds.items():
+        if kind == "d":
+            cols.append(r6(F.col(name)).alias(name))
+        elif kind == "i":
+            cols.append(F.col(name).cast("long").alias(name))
+        else:
+            cols.append(F.col(name))
+    return df.select(*cols)
+
+
+@register("customer_features")
+def q_customer_features(spark, sf_dir):
+    """62 customer features per profileId."""
+    from faresight.operators.customers import customer_features
+    from faresight.plans.oracle_customers import CUSTOMER_FEATURE_KINDS
+    return finalize(customer_features(candidates(spark, sf_dir)), CUSTOMER_FEATURE_KINDS, ["profileId"])

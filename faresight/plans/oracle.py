@@ -16,3 +16,7 @@ FROM candidates"""),
 FROM r GROUP BY ranker_id"""),
     final="""SELECT 3 AS k, count(*) AS sessions, CAST(sum(hit) AS BIGINT) AS hits,
        round(sum(hit) / count(*), 6) AS hit_rate FROM s""")
+
+from faresight.plans.oracle_customers import customer_ctes  # noqa: E402
+
+ORACLE["customer_features"] = with_candidates(*customer_ctes(), final="SELECT * FROM cust")
