@@ -70,3 +70,25 @@ def q_customer_features(spark, sf_dir):
     from faresight.operators.customers import customer_features
     from faresight.plans.oracle_customers import CUSTOMER_FEATURE_KINDS
     return finalize(customer_features(candidates(spark, sf_dir)), CUSTOMER_FEATURE_KINDS, ["profileId"])
+
+
+@register("option_features")
+def q_option_features(spark, sf_dir):
+    """44 option features + ids / label / leftover raw columns.
+    A session's only priced option gets percentile 50 (the reference's stated
+    intent) so that outputs stay NaN-free."""
+    from faresight.operators.options import option_features
+    from faresight.plans.oracle_options import OPTION_FEATURE_KINDS
+    return finalize(option_features(candidates(spark, sf_dir), single_row_percentile=50.0), OPTION_FEATURE_KINDS)
+
+
+@register("combined_features")
+def q_combined_features(spark, sf_dir):
+    """Options ⋈ customer features + 8 cross features (H1, SURVEY §2.11)."""
+    from faresight.operators.combine import combine
+    from faresight.operators.customers import customer_features
+    from faresight.operators.options import option_features
+    from faresight.plans.oracle_options import combined_kinds
+    cand = candidates(spark, sf_dir)
+    comb = combine(option_features(cand, single_row_percentile=50.0), customer_features(cand))
+    return finalize(comb, combined_kinds())

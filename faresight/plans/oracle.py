@@ -20,3 +20,8 @@ FROM r GROUP BY ranker_id"""),
 from faresight.plans.oracle_customers import customer_ctes  # noqa: E402
 
 ORACLE["customer_features"] = with_candidates(*customer_ctes(), final="SELECT * FROM cust")
+
+from faresight.plans.oracle_options import combined_ctes, option_ctes  # noqa: E402
+
+ORACLE["option_features"] = with_candidates(*option_ctes(), final="SELECT * FROM opt")
+ORACLE["combined_features"] = with_candidates(*combined_ctes(), final="SELECT * FROM comb")

@@ -31,7 +31,7 @@ CUSTOMER_FEATURE_KINDS = {
 }
 
 
-def customer_ctes(single_row_percentile: str = "'NaN'::DOUBLE"):
+def customer_ctes(single_row_percentile: str = "'NaN'::DOUBLE", rounded: bool = True):
     """CTE list producing ``cust`` (profileId + 62 features, filled)."""
     cabin = [seg(L, S, "cabinClass") for L in (0, 1) for S in range(4)]
     sel = "selected = 1"
@@ -121,7 +121,7 @@ FROM cagg2"""
   roundtrip_preference * has_corp_codes AS corp_roundtrip_pref,
   (max_booking_lead_days - min_booking_lead_days) * has_corp_codes AS corp_planning_variance
 FROM cder"""
-    final = "SELECT profileId, " + ", ".join(f"{fill0(n, k)} AS {n}" for n, k in CUSTOMER_FEATURE_KINDS.items()) + " FROM cint"
+    final = "SELECT profileId, " + ", ".join(f"{fill0(n, k, rounded)} AS {n}" for n, k in CUSTOMER_FEATURE_KINDS.items()) + " FROM cint"
     return [
         ("cbase", base_cte()),
         ("cwin", """SELECT *, rank() OVER (PARTITION BY ranker_id ORDER BY totalPrice) AS s_rank,

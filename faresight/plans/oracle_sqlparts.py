@@ -63,9 +63,10 @@ FROM (SELECT {key}, {value_expr} AS v, count(*) AS c FROM {src}
 GROUP BY {key}"""
 
 
-def fill0(x, kind):
+def fill0(x, kind, rounded=True):
     if kind == "d":
-        return f"round(CASE WHEN isnan(coalesce({x}, 0)) THEN 0 ELSE coalesce({x}, 0) END, 6)"
+        e = f"CASE WHEN isnan(coalesce({x}, 0)) THEN 0 ELSE coalesce({x}, 0) END"
+        return f"round({e}, 6)" if rounded else e
     if kind == "i":
         return f"CAST(coalesce({x}, 0) AS BIGINT)"
     return x
