@@ -42,7 +42,7 @@ def _distinct_sql(cols):
     return f"len(list_distinct([{', '.join(cols)}]))"
 
 
-def option_ctes(single_row_percentile: str = "50.0"):
+def option_ctes(single_row_percentile: str = "50.0", rounded: bool = True):
     L = (0, 1)
     mkt = [seg(l, s, "marketingCarrier_code") for l in L for s in range(4)]
     op = [seg(l, s, "operatingCarrier_code") for l in L for s in range(4)]
@@ -108,7 +108,7 @@ FROM ofeat"""
   totalPrice / s_min AS price_ratio_to_min,
   ln(1 + route_popularity) AS route_popularity_log
 FROM oder"""
-    final = "SELECT " + ", ".join(f"{fill0(n, k)} AS {n}" for n, k in OPTION_FEATURE_KINDS.items()) + " FROM owin"
+    final = "SELECT " + ", ".join(f"{fill0(n, k, rounded)} AS {n}" for n, k in OPTION_FEATURE_KINDS.items()) + " FROM owin"
     return [("obase", base_cte()), ("ofeat", feats), ("oder", derived), ("owin", win), ("opt", final)]
 
 
@@ -129,4 +129,4 @@ FROM opt o JOIN cust c ON o.profileId = c.profileId"""
     final = "SELECT " + ", ".join(
         (f"round({n}, 6) AS {n}" if t == "d" else f"CAST({n} AS BIGINT) AS {n}" if t == "i" else n)
         for n, t in kinds.items()) + " FROM comb0"
-    return customer_ctes(rounded=False) + option_ctes() + [("comb0", cross), ("comb", final)]
+    return customer_ctes(rounded=False) + option_ctes(rounded=False) + [("comb0", cross), ("comb", final)]
