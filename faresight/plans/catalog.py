@@ -92,3 +92,157 @@ def q_combined_features(spark, sf_dir):
     cand = candidates(spark, sf_dir)
     comb = combine(option_features(cand, single_row_percentile=50.0), customer_features(cand))
     return finalize(comb, combined_kinds())
+
+
+# ---------------------------------------------------------------- profiling (C*)
+from faresight.operators import profile as P  # noqa: E402
+
+
+@register("profile_unique_counts")
+def q_profile_unique_counts(spark, sf_dir):
+    return P.unique_counts(candidates(spark, sf_dir))
+
+
+@register("profile_sessions_without_selection")
+def q_profile_no_selection(spark, sf_dir):
+    return P.sessions_without_selection(candidates(spark, sf_dir))
+
+
+@register("profile_options_per_session")
+def q_profile_options_per_session(spark, sf_dir):
+    return P.counts_by(candidates(spark, sf_dir), ["ranker_id"])
+
+
+@register("profile_options_per_customer")
+def q_profile_options_per_customer(spark, sf_dir):
+    return P.counts_by(candidates(spark, sf_dir), ["profileId"])
+
+
+@register("profile_options_per_customer_session")
+def q_profile_options_per_customer_session(spark, sf_dir):
+    return P.counts_by(candidates(spark, sf_dir), ["profileId", "ranker_id"])
+
+
+@register("profile_sessions_per_customer")
+def q_profile_sessions_per_customer(spark, sf_dir):
+    return P.sessions_per_customer(candidates(spark, sf_dir))
+
+
+@register("profile_session_size_describe")
+def q_profile_session_size_describe(spark, sf_dir):
+    d = P.describe_counts(P.counts_by(candidates(spark, sf_dir), ["ranker_id"]), "flights")
+    return d.select(*[r6(F.col(c)).alias(c) if c not in ("count", "null_count", "outliers") else F.col(c)
+                      for c in d.columns])
+
+
+@register("profile_session_size_histogram")
+def q_profile_session_size_histogram(spark, sf_dir):
+    return P.histogram(P.counts_by(candidates(spark, sf_dir), ["ranker_id"]), "flights", 50)
+
+
+@register("profile_missing_values")
+def q_profile_missing_values(spark, sf_dir):
+    return P.missing_profile(candidates(spark, sf_dir))
+
+
+@register("profile_dtype_histogram")
+def q_profile_dtype_histogram(spark, sf_dir):
+    return P.dtype_histogram(P.missing_profile(candidates(spark, sf_dir)))
+
+
+@register("profile_missing_bands")
+def q_profile_missing_bands(spark, sf_dir):
+    prof = P.missing_profile(candidates(spark, sf_dir))
+    p = F.col("missing_percentage")
+    band = (F.when(p == 0, "none").when(p < 10, "low").when(p < 50, "mid").otherwise("high"))
+    return prof.select("column", "missing_count", "missing_percentage", band.alias("band"))
+
+
+@register("profile_distinct_carriers")
+def q_profile_distinct_carriers(spark, sf_dir):
+    return P.distinct_carriers(candidates(spark, sf_dir))
+
+
+@register("profile_carrier_frequency")
+def q_profile_carrier_frequency(spark, sf_dir):
+    return P.carrier_frequency(candidates(spark, sf_dir))
+
+
+@register("profile_top20_carriers")
+def q_profile_top20_carriers(spark, sf_dir):
+    return P.top_carriers(candidates(spark, sf_dir), 20)
+
+
+@register("profile_programmes_raw")
+def q_profile_programmes_raw(spark, sf_dir):
+    return P.distinct_programmes_raw(candidates(spark, sf_dir))
+
+
+@register("profile_programme_tokens")
+def q_profile_programme_tokens(spark, sf_dir):
+    return P.programme_tokens(candidates(spark, sf_dir))
+
+
+@register("profile_programmes_without_carrier")
+def q_profile_programmes_without_carrier(spark, sf_dir):
+    return P.programmes_without_carrier(candidates(spark, sf_dir))
+
+
+@register("profile_distinct_airports")
+def q_profile_distinct_airports(spark, sf_dir):
+    return P.distinct_airports(candidates(spark, sf_dir))
+
+
+@register("profile_baggage_values")
+def q_profile_baggage_values(spark, sf_dir):
+    return P.baggage_values(candidates(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- split (D*)
+from faresight.operators import split as D  # noqa: E402
+
+
+@register("split_assignment")
+def q_split_assignment(spark, sf_dir):
+    return D.session_assignment(candidates(spark, sf_dir), 0.2, 42)
+
+
+@register("split_distribution")
+def q_split_distribution(spark, sf_dir):
+    return D.split_distribution(candidates(spark, sf_dir), 0.2, 42)
+
+
+# ---------------------------------------------------------------- metrics
+from faresight.operators import metrics as M  # noqa: E402
+
+
+@register("price_rank_hit_rate_min10")
+def q_price_rank_hit_rate_min10(spark, sf_dir):
+    hr = M.hit_rate_at_k(price_rank_scored(spark, sf_dir), k=3, min_size=10)
+    return hr.select("k", "sessions", "hits", r6(F.col("hit_rate")).alias("hit_rate"))
+
+
+@register("price_rank_hit_details")
+def q_price_rank_hit_details(spark, sf_dir):
+    return M.hit_details(price_rank_scored(spark, sf_dir), k=3)
+
+
+@register("price_rank_ndcg")
+def q_price_rank_ndcg(spark, sf_dir):
+    n = M.ndcg_at_k(price_rank_scored(spark, sf_dir), k=3)
+    return n.select("k", "sessions", r6(F.col("ndcg")).alias("ndcg"))
+
+
+@register("random_baseline")
+def q_random_baseline(spark, sf_dir):
+    b = M.random_baseline(candidates(spark, sf_dir), k=3)
+    return b.select("k", "sessions", r6(F.col("random_hit_rate")).alias("random_hit_rate"))
+
+
+@register("price_rank_hit_rate_by_vip")
+def q_price_rank_hit_rate_by_vip(spark, sf_dir):
+    """K11 shape: hit rate per group (here the VIP flag of the session's customer)."""
+    scored = price_rank_scored(spark, sf_dir).join(
+        candidates(spark, sf_dir).select("Id", F.col("isVip").cast("int").alias("is_vip")), "Id")
+    hr = M.hit_rate_at_k(scored, k=3, by=["is_vip"])
+    return hr.select("is_vip", "k", "sessions", "hits", r6(F.col("hit_rate")).alias("hit_rate"))

@@ -25,3 +25,7 @@ from faresight.plans.oracle_options import combined_ctes, option_ctes  # noqa: E
 
 ORACLE["option_features"] = with_candidates(*option_ctes(), final="SELECT * FROM opt")
 ORACLE["combined_features"] = with_candidates(*combined_ctes(), final="SELECT * FROM comb")
+
+from faresight.plans.oracle_profile import profile_oracles  # noqa: E402
+
+ORACLE.update(profile_oracles())
