@@ -25,12 +25,44 @@ from faresight.schema import seg_col
 MARKER = "total_flights_searched"
 
 
+def row_inputs(df: DataFrame) -> DataFrame:
+    """Row-level values every aggregate needs, computed once before any shuffle
+    so that the window exchanges carry ~25 narrow columns, not 114 raw ones."""
+    base = add_parsed_times(add_trip_duration(df))
+    c = F.col
+    cabin_cols = sorted(x for x in base.columns if x.startswith("legs") and x.endswith("_cabinClass"))
+    dep_air = c(seg_col(0, 0, "departureFrom_airport_iata"))
+    mkt0 = c(seg_col(0, 0, "marketingCarrier_code"))
+    last_arr = F.coalesce(c(seg_col(0, 2, "arrivalTo_airport_iata")), c(seg_col(0, 1, "arrivalTo_airport_iata")),
+                          c(seg_col(0, 0, "arrivalTo_airport_iata")))
+    bag_cells = [(seg_col(L, S, "baggageAllowance_weightMeasurementType"), seg_col(L, S, "baggageAllowance_quantity"))
+                 for L in (0, 1) for S in range(4)]
+    return base.select(
+        "Id", "ranker_id", "profileId", "selected", "totalPrice", "companyID", "sex", "nationality",
+        "frequentFlyer", "isVip", "bySelf", "corporateTariffCode", "searchRoute",
+        "leg0_duration_minutes", "trip_duration_minutes",
+        lead_days(c("_dep0"), c("requestDate")).alias("_lead"),
+        F.hour(c("_dep0")).alias("_dep_h"), F.hour(c("_arr0")).alias("_arr_h"),
+        iso_weekday(c("_dep0")).alias("_wd0"), iso_weekday(c("_dep1")).alias("_wd1"),
+        c("legs1_departureAt").isNotNull().alias("_has_ret"),
+        dep_air.alias("_dep_air"), mkt0.alias("_mkt0"),
+        (is_hub(dep_air) | is_hub(last_arr)).alias("_hub"),
+        row_min(cabin_cols).alias("_cab_min"), row_max(cabin_cols).alias("_cab_max"),
+        row_mean(cabin_cols).alias("_cab_mean"),
+        row_mean([(c(seg_col(0, S, "cabinClass")) == 2).cast("double") for S in range(4)]).alias("_prem"),
+        row_min([F.when(c(t) == 0, c(q)) for t, q in bag_cells]).alias("_bag0"),
+        row_min([F.when(c(t) == 1, c(q)) for t, q in bag_cells]).alias("_bag1"),
+        count_not_null([seg_col(0, S, "departureFrom_airport_iata") for S in range(4)]).alias("_conn"),
+        contains_or_false(c("frequentFlyer"), mkt0).alias("_ff_hit"),
+    )
+
+
 def with_customer_windows(df: DataFrame, single_row_percentile: float = float("nan"),
                           max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """Row-level inputs of the aggregate: price percentile in the session and
     the price / duration tier of the row within its customer."""
-    base = add_parsed_times(add_trip_duration(df))
-    s = group_rank(base, "ranker_id", "totalPrice", "Id", prefix="_s_", max_group_rows=max_group_rows)
+    rows = df if "_lead" in df.columns else row_inputs(df)
+    s = group_rank(rows, "ranker_id", "totalPrice", "Id", prefix="_s_", max_group_rows=max_group_rows)
     s = s.withColumn("price_percentile", percentile_in_session(F.col("_s_rank"), F.col("_s_count"),
                                                                single_row_percentile))
     p = group_rank(s, "profileId", "totalPrice", "Id", prefix="_p_", max_group_rows=max_group_rows)
@@ -39,6 +71,20 @@ def with_customer_windows(df: DataFrame, single_row_percentile: float = float("n
     return d.withColumn("_dur_tier", nearest_tier(F.col("_d_rank"), F.col("_d_count")))
 
 
+def distinct_aggregates(rows: DataFrame) -> DataFrame:
+    """The distinct counts, as their own narrow aggregate: Spark expands each row
+    once per distinct column, so it is kept away from the wide aggregate."""
+    c = F.col
+    sel = c("selected") == 1
+    return rows.groupBy("profileId").agg(
+        F.count_distinct("ranker_id").alias("total_search_sessions"),
+        F.count_distinct("searchRoute").alias("unique_routes_searched"),
+        F.max(c("searchRoute").isNull().cast("int")).alias("_route_null"),
+        F.count_distinct(F.when(sel, c("_dep_air"))).alias("unique_departure_airports"),
+        F.count_distinct(F.when(sel, c("_mkt0"))).alias("unique_carriers_used"),
+    )
+
+
 def customer_aggregates(df: DataFrame) -> list:
     c = F.col
     sel = c("selected") == 1
@@ -46,22 +92,12 @@ def customer_aggregates(df: DataFrame) -> list:
     def s(x):
         return F.when(sel, x)
 
-    cabin_cols = sorted(x for x in df.columns if x.startswith("legs") and x.endswith("_cabinClass"))
-    lead = s(lead_days(c("_dep0"), c("requestDate")))
-    dep_h, arr_h = F.hour(c("_dep0")), F.hour(c("_arr0"))
-    wd0 = iso_weekday(c("_dep0"))
-    wd1 = iso_weekday(c("_dep1"))
-    sel_ret = sel & c("legs1_departureAt").isNotNull()
-    dep_air = c(seg_col(0, 0, "departureFrom_airport_iata"))
-    mkt0 = c(seg_col(0, 0, "marketingCarrier_code"))
-    last_arr = F.coalesce(c(seg_col(0, 2, "arrivalTo_airport_iata")), c(seg_col(0, 1, "arrivalTo_airport_iata")),
-                          c(seg_col(0, 0, "arrivalTo_airport_iata")))
+    lead = s(c("_lead"))
+    dep_h, arr_h = c("_dep_h"), c("_arr_h")
+    wd0, wd1 = c("_wd0"), c("_wd1")
+    sel_ret = sel & c("_has_ret")
     dur0 = c("leg0_duration_minutes")
     ppm = c("totalPrice") / F.greatest(c("trip_duration_minutes"), F.lit(1))
-    bag_cells = [(seg_col(L, S, "baggageAllowance_weightMeasurementType"), seg_col(L, S, "baggageAllowance_quantity"))
-                 for L in (0, 1) for S in range(4)]
-    bag_min = {t: row_min([F.when(c(tc) == t, c(qc)) for tc, qc in bag_cells]) for t in (0, 1)}
-    prem = row_mean([(c(seg_col(0, S, "cabinClass")) == 2).cast("double") for S in range(4)])
 
     return [
         first_non_null("companyID").alias("company_id"),
@@ -72,21 +108,16 @@ def customer_aggregates(df: DataFrame) -> list:
         first_non_null("bySelf").cast("int").alias("by_self"),
         F.max(c("corporateTariffCode").isNotNull().cast("int")).alias("has_corp_codes"),
         F.count(F.lit(1)).alias("total_flights_searched"),
-        F.count_distinct("ranker_id").alias("total_search_sessions"),
-        (F.count(F.lit(1)) / F.count_distinct("ranker_id")).alias("avg_searches_per_session"),
-        F.count_distinct("searchRoute").alias("unique_routes_searched"),
         F.min(lead).alias("min_booking_lead_days"),
         F.max(lead).alias("max_booking_lead_days"),
         F.avg(lead).alias("avg_booking_lead_days"),
         F.median(lead).alias("median_booking_lead_days"),
-        mode_of(s(dep_air)).alias("most_common_departure_airport"),
-        F.count_distinct(s(dep_air)).alias("unique_departure_airports"),
-        mode_of(s(mkt0)).alias("most_common_carrier"),
-        F.count_distinct(s(mkt0)).alias("unique_carriers_used"),
-        F.avg(s(c("legs1_departureAt").isNotNull().cast("double"))).alias("roundtrip_preference"),
-        F.min(s(row_min(cabin_cols))).alias("min_cabin_class"),
-        F.max(s(row_max(cabin_cols))).alias("max_cabin_class"),
-        F.avg(s(row_mean(cabin_cols))).alias("avg_cabin_class"),
+        mode_of(s(c("_dep_air"))).alias("most_common_departure_airport"),
+        mode_of(s(c("_mkt0"))).alias("most_common_carrier"),
+        F.avg(s(c("_has_ret").cast("double"))).alias("roundtrip_preference"),
+        F.min(s(c("_cab_min"))).alias("min_cabin_class"),
+        F.max(s(c("_cab_max"))).alias("max_cabin_class"),
+        F.avg(s(c("_cab_mean"))).alias("avg_cabin_class"),
         mode_of(s(wd0)).alias("weekday_preference"),
         F.coalesce(mode_of(F.when(sel_ret, wd1)), F.lit(-1)).alias("return_weekday_preference"),
         F.avg(s((wd0 >= 5).cast("double"))).alias("weekend_travel_rate"),
@@ -95,28 +126,40 @@ def customer_aggregates(df: DataFrame) -> list:
         F.avg(s(((dep_h >= 22) | (dep_h < 6)).cast("double"))).alias("night_flight_preference"),
         F.avg(s(((dep_h >= 22) | (dep_h <= 5) | ((dep_h >= 18) & (arr_h <= 8))).cast("double")))
          .alias("redeye_flight_preference"),
-        (1 - n_unique_with_null("searchRoute") / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("route_loyalty"),
-        F.avg(s((is_hub(dep_air) | is_hub(last_arr)).cast("double"))).alias("hub_preference"),
+        F.avg(s(c("_hub").cast("double"))).alias("hub_preference"),
         clip((1 - F.avg(s(dur0)) / 180) * 0.7 + F.avg(s(F.when(dur0 <= 180, 1.0).otherwise(0.0))) * 0.3, 0, 1)
          .alias("short_haul_preference"),
-        F.avg(s(count_not_null([seg_col(0, S, "departureFrom_airport_iata") for S in range(4)]).cast("double")))
-         .alias("connection_tolerance"),
+        F.avg(s(c("_conn").cast("double"))).alias("connection_tolerance"),
         mode_of(s(c("_dur_tier"))).alias("preferred_duration_quartile"),
         F.coalesce(guarded_corr(s(c("totalPrice")), s(c("trip_duration_minutes"))), F.lit(0.0))
          .alias("price_to_duration_sensitivity"),
         F.avg(s(ppm)).alias("avg_price_per_minute"),
         F.coalesce(F.stddev_samp(s(ppm)), F.lit(0.0)).alias("price_per_minute_variance"),
         F.avg(s(c("price_percentile"))).alias("price_position_preference"),
-        F.avg(s(prem)).alias("premium_economy_preference"),
+        F.avg(s(c("_prem"))).alias("premium_economy_preference"),
         (1 - clip(F.coalesce(F.stddev_samp(s(c("_price_tier"))), F.lit(0.0)) / 3, 0, 1)).alias("consistent_price_tier"),
         mode_of(s(c("_price_tier"))).alias("preferred_price_tier"),
-        F.coalesce(F.avg(s(bag_min[0])), F.lit(0.0)).alias("baggage_qty_preference"),
-        F.coalesce(F.avg(s(bag_min[1])), F.lit(0.0)).alias("baggage_weight_preference"),
-        F.coalesce(F.avg(s(contains_or_false(c("frequentFlyer"), mkt0).cast("double"))), F.lit(0.0))
-         .alias("loyalty_program_utilization"),
+        F.coalesce(F.avg(s(c("_bag0"))), F.lit(0.0)).alias("baggage_qty_preference"),
+        F.coalesce(F.avg(s(c("_bag1"))), F.lit(0.0)).alias("baggage_weight_preference"),
+        F.coalesce(F.avg(s(c("_ff_hit").cast("double"))), F.lit(0.0)).alias("loyalty_program_utilization"),
     ]
 
 
+FEATURE_ORDER = [
+    "company_id", "sex", "nationality", "frequent_flyer", "is_vip", "by_self", "has_corp_codes",
+    "total_flights_searched", "total_search_sessions", "avg_searches_per_session", "unique_routes_searched",
+    "min_booking_lead_days", "max_booking_lead_days", "avg_booking_lead_days", "median_booking_lead_days",
+    "most_common_departure_airport", "unique_departure_airports", "most_common_carrier", "unique_carriers_used",
+    "roundtrip_preference", "min_cabin_class", "max_cabin_class", "avg_cabin_class", "weekday_preference",
+    "return_weekday_preference", "weekend_travel_rate", "return_weekend_travel_rate", "time_of_day_variance",
+    "night_flight_preference", "redeye_flight_preference", "route_loyalty", "hub_preference",
+    "short_haul_preference", "connection_tolerance", "preferred_duration_quartile",
+    "price_to_duration_sensitivity", "avg_price_per_minute", "price_per_minute_variance",
+    "price_position_preference", "premium_economy_preference", "consistent_price_tier", "preferred_price_tier",
+    "baggage_qty_preference", "baggage_weight_preference", "loyalty_program_utilization",
+]
+
+
 def derived_metrics() -> list:
     c = F.col
     return [
@@ -153,8 +196,17 @@ def customer_features(df: DataFrame, single_row_percentile: float = float("nan")
     in numeric columns (strings keep their nulls)."""
     if MARKER in df.columns:  # A5: already aggregated
         return df
-    rows = with_customer_windows(df, single_row_percentile, max_group_rows)
-    agg = rows.groupBy("profileId").agg(*customer_aggregates(rows))
+    base = row_inputs(df)
+    rows = with_customer_windows(base, single_row_percentile, max_group_rows)
+    main = rows.groupBy("profileId").agg(*customer_aggregates(rows))
+    dist = distinct_aggregates(base)
+    c = F.col
+    agg = main.join(dist, "profileId").select(
+        "*",
+        (c("total_flights_searched") / c("total_search_sessions")).alias("avg_searches_per_session"),
+        (1 - (c("unique_routes_searched") + c("_route_null")) / F.greatest(c("total_flights_searched"), F.lit(1)))
+        .alias("route_loyalty"))
+    agg = agg.select("profileId", *FEATURE_ORDER)
     agg = agg.select("*", *derived_metrics())
     agg = agg.select("*", *interaction_features())
     return agg.na.fill(0)

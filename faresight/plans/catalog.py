@@ -37,8 +37,12 @@ def q_candidates(spark, sf_dir):
 
 
 def price_rank_scored(spark, sf_dir) -> DataFrame:
+    return price_rank_scored_from(candidates(spark, sf_dir))
+
+
+def price_rank_scored_from(cand: DataFrame) -> DataFrame:
     """Scorer = cheapest first: y_pred = −price_rank_pct."""
-    cand = candidates(spark, sf_dir).select("Id", "ranker_id", "totalPrice", "selected")
+    cand = cand.select("Id", "ranker_id", "totalPrice", "selected")
     ranked = group_rank(cand, "ranker_id", "totalPrice", "Id", prefix="p_")
     return ranked.withColumn("y_pred", -(F.col("p_ordinal") / F.col("p_count")))
 
