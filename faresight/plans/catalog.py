@@ -250,3 +250,110 @@ def q_price_rank_hit_rate_by_vip(spark, sf_dir):
         candidates(spark, sf_dir).select("Id", F.col("isVip").cast("int").alias("is_vip")), "Id")
     hr = M.hit_rate_at_k(scored, k=3, by=["is_vip"])
     return hr.select("is_vip", "k", "sessions", "hits", r6(F.col("hit_rate")).alias("hit_rate"))
+
+
+# ---------------------------------------------------------------- segmentation (J*)
+from faresight.operators import segment as SG  # noqa: E402
+
+SWEEP_KS = list(range(4, 17))
+
+
+def _cust(spark, sf_dir):
+    from faresight.operators.customers import customer_features
+    return customer_features(candidates(spark, sf_dir))
+
+
+def reduced_customers(cust: DataFrame, variance: float = 0.95):
+    """encode → robust scale → PCA (J2–J6); returns (profileId, features) and the fitted parts."""
+    # every fitting step re-reads its input: cut lineage in the shared checkpoint folder
+    from faresight.session import checkpoint_dir
+    checkpoint_dir(cust.sparkSession)
+    cust = cust.checkpoint()
+    enc = SG.fit_encoders(cust)
+    x = SG.apply_encoders(cust, enc)
+    cols = [f.name for f in x.schema.fields if f.name != "profileId" and f.dataType.typeName() != "string"]
+    params = SG.fit_robust_scaler(x, cols)
+    scaled = SG.apply_robust_scaler(x, params).checkpoint()
+    pca = SG.fit_pca(scaled, cols, variance)
+    reduced = SG.apply_pca(scaled, pca)
+    return reduced.checkpoint(), (enc, params, pca)
+
+
+def segment_pipeline(cust: DataFrame, ks=None, seed: int = 42) -> DataFrame:
+    """Segments per customer: (profileId, customer_segment, min_distance)."""
+    reduced, _ = reduced_customers(cust)
+    k, model, _ = SG.sweep_kmeans(reduced, ks or SWEEP_KS, seed)
+    pred = model.transform(reduced)
+    cents = SG.centroids(pred, "cluster")
+    return SG.nearest_centroid(reduced, cents, "cluster").select("profileId", "customer_segment", "min_distance")
+
+
+@register("customer_segments")
+def q_customer_segments(spark, sf_dir):
+    """Segment label and distance to its centroid per customer."""
+    return segment_pipeline(_cust(spark, sf_dir))
+
+
+@register("segment_profiles")
+def q_segment_profiles(spark, sf_dir):
+    """Feature means and size per segment."""
+    cust = _cust(spark, sf_dir)
+    return SG.analyze_clusters(cust, segment_pipeline(cust))
+
+
+@register("segment_session_stats")
+def q_segment_session_stats(spark, sf_dir):
+    """Rows, sessions and session sizes per segment (two-level aggregate)."""
+    cand = candidates(spark, sf_dir)
+    from faresight.operators.customers import customer_features
+    seg = segment_pipeline(customer_features(cand))
+    return P.segment_session_stats(cand.join(seg.select("profileId", "customer_segment"), "profileId"))
+
+
+@register("programme_top_tokens")
+def q_programme_top_tokens(spark, sf_dir):
+    """J2 fit: top-10 programme tokens over customers (count desc, token asc)."""
+    counts = SG.programme_token_counts(_cust(spark, sf_dir))
+    return counts.orderBy(F.col("count").desc(), "token").limit(10)
+
+
+@register("customer_encoding")
+def q_customer_encoding(spark, sf_dir):
+    """J2–J4 apply: frequency encodings, programme count and top-programme hits per customer."""
+    cust = _cust(spark, sf_dir)
+    enc = SG.fit_encoders(cust)
+    x = SG.apply_encoders(cust, enc)
+    ff = [c for c in x.columns if c.startswith("ff_") and c != "ff_program_count"]
+    hits = sum([F.col(c) for c in ff]) if ff else F.lit(0)
+    return x.select("profileId", F.col("most_common_departure_airport_frequency").cast("long").alias("airport_frequency"),
+                    F.col("most_common_carrier_frequency").cast("long").alias("carrier_frequency"),
+                    F.col("ff_program_count").cast("long").alias("ff_program_count"),
+                    hits.cast("long").alias("ff_top_hits"))
+
+
+def _embeddings(spark, sf_dir):
+    from faresight.sources.tables import read_table
+    e = read_table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("features"))
+
+
+@register("embedding_centroids")
+def q_embedding_centroids(spark, sf_dir):
+    """J13 on the embeddings table (given labels): size and rounded centroid per label."""
+    c = SG.centroids(_embeddings(spark, sf_dir), "label")
+    return c.select("label", "n", F.transform("centroid", lambda v: F.round(v, 6)).alias("centroid"))
+
+
+@register("embedding_nearest_centroid")
+def q_embedding_nearest_centroid(spark, sf_dir):
+    """Nearest label centroid of every vector and its distance."""
+    e = _embeddings(spark, sf_dir)
+    out = SG.nearest_centroid(e, SG.centroids(e, "label"), "label", out="nearest_label")
+    return out.select("vec_id", "label", "nearest_label", r6(F.col("min_distance")).alias("min_distance"))
+
+
+@register("embedding_silhouette")
+def q_embedding_silhouette(spark, sf_dir):
+    """Exact mean silhouette (squared Euclidean) of the given labels."""
+    s = SG.silhouette_sq(_embeddings(spark, sf_dir), "label")
+    return s.select(r6(F.col("silhouette")).alias("silhouette"), "points")

@@ -29,3 +29,43 @@ ORACLE["combined_features"] = with_candidates(*combined_ctes(), final="SELECT *
 from faresight.plans.oracle_profile import profile_oracles  # noqa: E402
 
 ORACLE.update(profile_oracles())
+
+from faresight.plans.oracle_customers import customer_ctes as _cc  # noqa: E402
+
+_EMB = ("emb", "SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings")
+_EMB_LONG = ("el", "SELECT vec_id, label, generate_subscripts(x, 1) AS i, unnest(x) AS v FROM emb")
+_CENT = ("cent", "SELECT label, i, avg(v) AS c, count(*) AS n FROM el GROUP BY label, i")
+
+ORACLE["embedding_centroids"] = with_candidates(_EMB, _EMB_LONG, _CENT, final="""SELECT label, max(n) AS n,
+  list(round(c, 6) ORDER BY i) AS centroid FROM cent GROUP BY label""")
+ORACLE["embedding_nearest_centroid"] = with_candidates(
+    _EMB, _EMB_LONG, _CENT,
+    ("d", """SELECT el.vec_id, el.label, cent.label AS cl, sum((el.v - cent.c) * (el.v - cent.c)) AS d2
+FROM el JOIN cent ON el.i = cent.i GROUP BY el.vec_id, el.label, cent.label"""),
+    final="""SELECT vec_id, label, arg_min(cl, d2 * 1e9 + cl) AS nearest_label, round(sqrt(min(d2)), 6) AS min_distance
+FROM d GROUP BY vec_id, label""")
+ORACLE["embedding_silhouette"] = with_candidates(
+    _EMB, _EMB_LONG,
+    ("pd", """SELECT a.vec_id AS p, a.label AS pl, b.label AS ql, sum((a.v - b.v) * (a.v - b.v)) AS d2
+FROM el a JOIN el b ON a.i = b.i GROUP BY a.vec_id, a.label, b.vec_id, b.label"""),
+    ("sz", "SELECT label, count(*) AS n FROM emb GROUP BY label"),
+    ("pc", """SELECT p, pl, ql, sum(d2) AS s FROM pd GROUP BY p, pl, ql"""),
+    ("ab", """SELECT p, max(CASE WHEN pl = ql AND sz.n > 1 THEN s / (sz.n - 1) END) AS a,
+  min(CASE WHEN pl <> ql THEN s / sz.n END) AS b FROM pc JOIN sz ON pc.ql = sz.label GROUP BY p"""),
+    final="""SELECT round(avg(CASE WHEN a IS NULL OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette,
+  count(*) AS points FROM ab""")
+
+ORACLE["programme_top_tokens"] = with_candidates(*_cc(), final="""SELECT token, count(*) AS "count" FROM (
+  SELECT unnest(string_split(frequent_flyer, '/')) AS token FROM cust WHERE frequent_flyer IS NOT NULL AND frequent_flyer <> '') t
+GROUP BY token ORDER BY "count" DESC, token LIMIT 10""")
+ORACLE["customer_encoding"] = with_candidates(
+    *_cc(),
+    ("top", """SELECT token FROM (SELECT unnest(string_split(frequent_flyer, '/')) AS token FROM cust
+  WHERE frequent_flyer IS NOT NULL AND frequent_flyer <> '') t GROUP BY token ORDER BY count(*) DESC, token LIMIT 10"""),
+    ("fa", "SELECT most_common_departure_airport AS v, count(*) AS f FROM cust WHERE most_common_departure_airport IS NOT NULL GROUP BY 1"),
+    ("fc", "SELECT most_common_carrier AS v, count(*) AS f FROM cust WHERE most_common_carrier IS NOT NULL GROUP BY 1"),
+    final="""SELECT profileId, CAST(coalesce(fa.f, 0) AS BIGINT) AS airport_frequency, CAST(coalesce(fc.f, 0) AS BIGINT) AS carrier_frequency,
+  CAST(CASE WHEN frequent_flyer IS NOT NULL AND frequent_flyer <> '' THEN len(string_split(frequent_flyer, '/')) ELSE 0 END AS BIGINT) AS ff_program_count,
+  CAST(CASE WHEN frequent_flyer IS NOT NULL AND frequent_flyer <> '' THEN
+    (SELECT count(*) FROM top WHERE list_contains(string_split(frequent_flyer, '/'), top.token)) ELSE 0 END AS BIGINT) AS ff_top_hits
+FROM cust LEFT JOIN fa ON cust.most_common_departure_airport = fa.v LEFT JOIN fc ON cust.most_common_carrier = fc.v""")
