@@ -357,3 +357,56 @@ def q_embedding_silhouette(spark, sf_dir):
     """Exact mean silhouette (squared Euclidean) of the given labels."""
     s = SG.silhouette_sq(_embeddings(spark, sf_dir), "label")
     return s.select(r6(F.col("silhouette")).alias("silhouette"), "points")
+
+
+# ---------------------------------------------------------------- ranking
+RANK_ROUNDS = 8
+
+
+def ranking_experiment(spark, sf_dir, rounds: int = RANK_ROUNDS, history: str = "train", ks=None):
+    """Split → customer features and segments on train → option features →
+    combine → per-segment + general LambdaMART → score the test split.
+
+    ``history='train'`` builds test customers' features from their train-side
+    searches (no label leakage; test options of customers unseen in train drop
+    out of the inner join); ``'test'`` reproduces the reference, which builds
+    them from the test rows themselves.  Returns the scored test frame."""
+    from faresight.operators import lambdamart as LM
+    from faresight.operators.combine import combine
+    from faresight.operators.customers import customer_features
+    from faresight.operators.options import option_features
+    from faresight.operators.split import stratified_split
+    from faresight.session import checkpoint_dir
+    checkpoint_dir(spark)
+    cand = candidates(spark, sf_dir).checkpoint()
+    train, test = stratified_split(cand)
+    cust_train = customer_features(train).checkpoint()
+    reduced, (enc, params, pca) = reduced_customers(cust_train)
+    k, km, _ = SG.sweep_kmeans(reduced, ks or SWEEP_KS)
+    cents = SG.centroids(km.transform(reduced), "cluster")
+    seg_train = SG.nearest_centroid(reduced, cents, "cluster").select("profileId", "customer_segment")
+    cust_test = cust_train if history == "train" else customer_features(test).checkpoint()
+    red_test = SG.apply_pca(SG.apply_robust_scaler(SG.apply_encoders(cust_test, enc), params), pca)
+    seg_test = SG.nearest_centroid(red_test, cents, "cluster").select("profileId", "customer_segment")
+    comb_train = combine(option_features(train), cust_train.join(seg_train, "profileId")).checkpoint()
+    comb_test = combine(option_features(test), cust_test.join(seg_test, "profileId")).checkpoint()
+    models = LM.train_segment_rankers(comb_train, rounds=rounds)
+    seg_scored = LM.score_by_segment(models, comb_test, out="y_pred")
+    gen_scored = models[99].score(comb_test, out="y_general").select("Id", "y_general")
+    return seg_scored.join(gen_scored, "Id")
+
+
+@register("ranker_segment_comparison")
+def q_ranker_segment_comparison(spark, sf_dir):
+    """HitRate@3 on the test split per segment for the segment model
+    and the general model, plus the price-rank and random baselines (sessions ≥ 1)."""
+    scored = ranking_experiment(spark, sf_dir).checkpoint()
+    seg = M.hit_rate_at_k(scored, k=3, score="y_pred", by=["customer_segment"]).select(
+        "customer_segment", F.lit("segment_model").alias("model"), "sessions", "hits", "hit_rate")
+    gen = M.hit_rate_at_k(scored, k=3, score="y_general", by=["customer_segment"]).select(
+        "customer_segment", F.lit("general_model").alias("model"), "sessions", "hits", "hit_rate")
+    allseg = M.hit_rate_at_k(scored, k=3, score="y_general").select(
+        F.lit(99).alias("customer_segment"), F.lit("general_model").alias("model"), "sessions", "hits", "hit_rate")
+    price = M.hit_rate_at_k(scored.withColumn("_neg_price", -F.col("price_rank_pct")), k=3, score="_neg_price").select(
+        F.lit(99).alias("customer_segment"), F.lit("price_rank").alias("model"), "sessions", "hits", "hit_rate")
+    return seg.unionByName(gen).unionByName(allseg).unionByName(price)
