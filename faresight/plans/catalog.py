@@ -410,3 +410,14 @@ def q_ranker_segment_comparison(spark, sf_dir):
     price = M.hit_rate_at_k(scored.withColumn("_neg_price", -F.col("price_rank_pct")), k=3, score="_neg_price").select(
         F.lit(99).alias("customer_segment"), F.lit("price_rank").alias("model"), "sessions", "hits", "hit_rate")
     return seg.unionByName(gen).unionByName(allseg).unionByName(price)
+
+
+@register("customer_outliers")
+def q_customer_outliers(spark, sf_dir):
+    """Isolation-forest anomaly score and the 5 % outlier flag per customer."""
+    from faresight.operators.iforest import remove_outliers
+    from faresight.session import checkpoint_dir
+    checkpoint_dir(spark)
+    cust = _cust(spark, sf_dir).checkpoint()
+    _, flagged = remove_outliers(cust, contamination=0.05)
+    return flagged
