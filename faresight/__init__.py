@@ -11,7 +11,7 @@ DataFrame / Spark SQL / Spark ML job:
 * ``operators``  – profiling, session split, customer / option features,
                    combine, metrics, segmentation and ranking algorithms.
 * ``plans``      – the registered query catalogue and its DuckDB oracle SQL.
-* ``streaming``  – micro-batch scoring of arriving search sessions.
+* ``streaming``  – empty: the reference has no streaming workload.
 """
 
 from faresight.session import get_session, checkpoint_dir

@@ -279,7 +279,7 @@ def reduced_customers(cust: DataFrame, variance: float = 0.95):
     return reduced.checkpoint(), (enc, params, pca)
 
 
-def segment_pipeline(cust: DataFrame, ks=None, seed: int = 42) -> DataFrame:
+def segment_customers(cust: DataFrame, ks=None, seed: int = 42) -> DataFrame:
     """Segments per customer: (profileId, customer_segment, min_distance)."""
     reduced, _ = reduced_customers(cust)
     k, model, _ = SG.sweep_kmeans(reduced, ks or SWEEP_KS, seed)
@@ -291,14 +291,14 @@ def segment_pipeline(cust: DataFrame, ks=None, seed: int = 42) -> DataFrame:
 @register("customer_segments")
 def q_customer_segments(spark, sf_dir):
     """Segment label and distance to its centroid per customer."""
-    return segment_pipeline(_cust(spark, sf_dir))
+    return segment_customers(_cust(spark, sf_dir))
 
 
 @register("segment_profiles")
 def q_segment_profiles(spark, sf_dir):
     """Feature means and size per segment."""
     cust = _cust(spark, sf_dir)
-    return SG.analyze_clusters(cust, segment_pipeline(cust))
+    return SG.analyze_clusters(cust, segment_customers(cust))
 
 
 @register("segment_session_stats")
@@ -306,7 +306,7 @@ def q_segment_session_stats(spark, sf_dir):
     """Rows, sessions and session sizes per segment (two-level aggregate)."""
     cand = candidates(spark, sf_dir)
     from faresight.operators.customers import customer_features
-    seg = segment_pipeline(customer_features(cand))
+    seg = segment_customers(customer_features(cand))
     return P.segment_session_stats(cand.join(seg.select("profileId", "customer_segment"), "profileId"))
 
 

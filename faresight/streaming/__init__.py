@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference is a batch pipeline: no streams, watermarks, windows over
+event time or stateful operators exist in it (SURVEY §2.14), so nothing is
+built here.  Every operator in ``faresight.operators`` is a DataFrame
+transformation and can be applied per micro-batch with ``foreachBatch``
+should a stream of search sessions ever be the input.
+"""
