@@ -246,3 +246,27 @@ def analyze_clusters(customers: DataFrame, labels: DataFrame, label: str = "cust
 def label_distribution(labels: DataFrame, label: str = "customer_segment") -> DataFrame:
     """J18 / G15."""
     return labels.groupBy(label).agg(F.count(F.lit(1)).alias("customers")).orderBy(label)
+
+
+SEGMENT_MEANS = [
+    ("total_flights_searched", "avg_flights_searched"), ("total_search_sessions", "avg_search_sessions"),
+    ("avg_searches_per_session", "avg_searches_per_session"), ("unique_routes_searched", "avg_unique_routes"),
+    ("avg_booking_lead_days", "avg_lead_days"), ("median_booking_lead_days", "avg_median_lead_days"),
+    ("roundtrip_preference", "avg_roundtrip_pref"), ("weekend_travel_rate", "avg_weekend_travel"),
+    ("avg_cabin_class", "avg_cabin_class"), ("route_loyalty", "avg_route_loyalty"),
+    ("carrier_diversity", "avg_carrier_diversity"), ("loyalty_program_utilization", "avg_loyalty_utilization"),
+    ("avg_price_per_minute", "avg_price_per_min"), ("price_per_minute_variance", "avg_price_variance"),
+    ("price_position_preference", "avg_price_position_pref"),
+]
+
+
+def segment_statistics(customers: DataFrame, segment: str = "customer_segment") -> DataFrame:
+    """Customers, demographic shares, behaviour means and VIP / corporate counts per segment."""
+    c = F.col
+    return (customers.groupBy(segment).agg(
+        F.count("profileId").alias("customer_count"),
+        (F.avg("sex") * 100).alias("pct_male"), (F.avg("is_vip") * 100).alias("pct_vip"),
+        (F.avg("has_corp_codes") * 100).alias("pct_corporate"),
+        *[F.avg(c(x)).alias(a) for x, a in SEGMENT_MEANS],
+        F.sum("is_vip").cast("long").alias("vip_count"), F.sum("has_corp_codes").cast("long").alias("corp_count"))
+        .orderBy(segment))

@@ -421,3 +421,18 @@ def q_customer_outliers(spark, sf_dir):
     cust = _cust(spark, sf_dir).checkpoint()
     _, flagged = remove_outliers(cust, contamination=0.05)
     return flagged
+
+
+@register("segment_statistics")
+def q_segment_statistics(spark, sf_dir):
+    """J17 on the clustering segments."""
+    cust = _cust(spark, sf_dir)
+    return SG.segment_statistics(cust.join(segment_customers(cust).select("profileId", "customer_segment"), "profileId"))
+
+
+@register("segment_statistics_by_tier")
+def q_segment_statistics_by_tier(spark, sf_dir):
+    """J17 grouped by the customer_tier feature (deterministic, oracle-checked)."""
+    s = SG.segment_statistics(_cust(spark, sf_dir), "customer_tier")
+    return s.select(*[r6(F.col(x)).alias(x) if t == "double" else F.col(x).cast("long").alias(x)
+                      for x, t in s.dtypes])

@@ -69,3 +69,12 @@ ORACLE["customer_encoding"] = with_candidates(
   CAST(CASE WHEN frequent_flyer IS NOT NULL AND frequent_flyer <> '' THEN
     (SELECT count(*) FROM top WHERE list_contains(string_split(frequent_flyer, '/'), top.token)) ELSE 0 END AS BIGINT) AS ff_top_hits
 FROM cust LEFT JOIN fa ON cust.most_common_departure_airport = fa.v LEFT JOIN fc ON cust.most_common_carrier = fc.v""")
+
+from faresight.operators.segment import SEGMENT_MEANS  # noqa: E402
+
+ORACLE["segment_statistics_by_tier"] = with_candidates(*_cc(rounded=False), final=(
+    "SELECT customer_tier, count(profileId) AS customer_count, round(avg(sex) * 100, 6) AS pct_male, "
+    "round(avg(is_vip) * 100, 6) AS pct_vip, round(avg(has_corp_codes) * 100, 6) AS pct_corporate, "
+    + ", ".join(f"round(avg({x}), 6) AS {a}" for x, a in SEGMENT_MEANS)
+    + ", CAST(sum(is_vip) AS BIGINT) AS vip_count, CAST(sum(has_corp_codes) AS BIGINT) AS corp_count "
+    "FROM cust GROUP BY customer_tier"))
