@@ -132,12 +132,13 @@ def apply_pca(df: DataFrame, fitted, keep=("profileId",)) -> DataFrame:
 
 
 # ------------------------------------------------------------------ clustering
-def cluster_stats(points: DataFrame, label: str = "cluster", vec: str = "features") -> DataFrame:
+def cluster_stats(points: DataFrame, label: str = "cluster", vec: str = "features",
+                  dim: int | None = None) -> DataFrame:
     """Per cluster: n, Σy (array), Σ‖y‖² – the sufficient statistics of centroids
     and of the squared-Euclidean silhouette."""
     arr = vector_to_array(F.col(vec)) if dict(points.dtypes)[vec] != "array<double>" else F.col(vec)
     p = points.select(F.col(label).alias("_c"), arr.alias("_y"))
-    d = len(p.first()["_y"])
+    d = dim if dim is not None else len(p.first()["_y"])
     return p.groupBy("_c").agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.sum(F.col("_y")[i]) for i in range(d)]).alias("sum_y"),
@@ -171,12 +172,13 @@ def nearest_centroid(points: DataFrame, cents: DataFrame, label: str = "cluster"
     return points.select("*", lab.alias(out), F.sqrt(F.array_min(d2)).alias("min_distance"))
 
 
-def silhouette_sq(points: DataFrame, label: str = "cluster", vec: str = "features") -> DataFrame:
+def silhouette_sq(points: DataFrame, label: str = "cluster", vec: str = "features",
+                  dim: int | None = None) -> DataFrame:
     """Exact mean silhouette with squared Euclidean distance.
 
     For point x and cluster C: Σ_{y∈C}‖x−y‖² = n_C‖x‖² − 2x·ΣC + Σ_C‖y‖².
     a(x) uses n_C − 1 (x itself contributes 0); singleton clusters score 0."""
-    st = cluster_stats(points, label, vec).collect()          # k rows
+    st = cluster_stats(points, label, vec, dim).collect()     # k rows
     x = vector_to_array(F.col(vec)) if dict(points.dtypes)[vec] != "array<double>" else F.col(vec)
     xx = F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v)
     own = F.col(label)
@@ -202,7 +204,7 @@ def sweep_kmeans(points: DataFrame, ks, seed: int = 42, vec: str = "features"):
     for k in ks:
         model = KMeans(k=k, seed=seed, featuresCol=vec, predictionCol="cluster").fit(points)
         pred = model.transform(points)
-        sil = silhouette_sq(pred).collect()[0]["silhouette"]
+        sil = silhouette_sq(pred, dim=len(model.clusterCenters()[0])).collect()[0]["silhouette"]
         results.append((k, float(sil)))
         if best is None or sil > best[1]:
             best = (k, sil, model)
