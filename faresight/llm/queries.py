@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from faresight.llm.common import shared_path
 from faresight.llm.mixing import mix_sources
+from faresight.llm.packing import pack_documents
 from faresight.llm.sharding import shard_documents, uniform_tree
+from faresight.llm.token_files import read_token_files, write_token_files
+from faresight.llm.tokens import vocabulary_path
 from faresight.sources.tables import read_table
 
 
@@ -14,13 +18,25 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op5_pack_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
+
+
 def op9_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"), uniform_tree(40), uniform_tree(41))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_path(spark, "tokens")
+    write_token_files(read_table(spark, sf_dir, "documents"), folder, vocabulary_path("byte_bpe_50k.json"))
+    return read_token_files(spark, folder)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op5_pack_mixture": op5_pack_mixture,
     "op9_shard_tree": op9_shard_tree,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLE: dict[str, str] = {}
