@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from faresight.llm.common import shared_path
 from faresight.llm.mixing import mix_sources
 from faresight.llm.packing import pack_documents
+from faresight.llm.quality import quality_rules
 from faresight.llm.sharding import shard_documents, uniform_tree
 from faresight.llm.token_files import read_token_files, write_token_files
 from faresight.llm.tokens import vocabulary_path
@@ -18,6 +19,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def op5_pack_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
 
@@ -34,6 +40,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op4_decision_list": op4_decision_list,
     "op5_pack_mixture": op5_pack_mixture,
     "op9_shard_tree": op9_shard_tree,
     "op10_token_files": op10_token_files,
