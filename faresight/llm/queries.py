@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from faresight.llm import line_spread
 from faresight.llm.common import shared_path
 from faresight.llm.mixing import mix_sources
 from faresight.llm.packing import pack_documents
@@ -28,6 +29,11 @@ def op5_pack_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
 
 
+def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_spread.remove_boilerplate(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", "text")
+
+
 def op9_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"), uniform_tree(40), uniform_tree(41))
 
@@ -42,8 +48,11 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op4_decision_list": op4_decision_list,
     "op5_pack_mixture": op5_pack_mixture,
+    "op7_line_spread": op7_line_spread,
     "op9_shard_tree": op9_shard_tree,
     "op10_token_files": op10_token_files,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_line_spread": line_spread.ORACLE_SQL,
+}
