@@ -13,6 +13,7 @@ from faresight.llm.mixing import mix_sources
 from faresight.llm.packing import pack_documents
 from faresight.llm.quality import quality_rules
 from faresight.llm.sharding import shard_documents, uniform_tree
+from faresight.llm.substring_dedup import remove_repeated_passages
 from faresight.llm.token_files import read_token_files, write_token_files
 from faresight.llm.tokens import vocabulary_path
 from faresight.sources.tables import read_table
@@ -47,6 +48,10 @@ def op5_pack_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
 
 
+def op6_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_passages(read_table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_spread.remove_boilerplate(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_removed", "text")
@@ -68,11 +73,13 @@ QUERIES = {
     "op3_event_chat": op3_event_chat,
     "op4_decision_list": op4_decision_list,
     "op5_pack_mixture": op5_pack_mixture,
+    "op6_suffix_automata": op6_suffix_automata,
     "op7_line_spread": op7_line_spread,
     "op9_shard_tree": op9_shard_tree,
     "op10_token_files": op10_token_files,
 }
 
 ORACLE: dict[str, str] = {
+    "op6_suffix_automata": op6_suffix_automata,
     "op7_line_spread": line_spread.ORACLE_SQL,
 }
