@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from faresight.llm import line_spread
 from faresight.llm.chat import format_conversations, read_back, turns_as_events
 from faresight.llm.common import shared_path
+from faresight.llm.jaccard_join import jaccard_components
 from faresight.llm.mih import nearest
 from faresight.llm.mixing import mix_sources
 from faresight.llm.packing import pack_documents
@@ -57,6 +58,10 @@ def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", "text")
 
 
+def op8_set_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op9_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"), uniform_tree(40), uniform_tree(41))
 
@@ -75,6 +80,7 @@ QUERIES = {
     "op5_pack_mixture": op5_pack_mixture,
     "op6_suffix_automata": op6_suffix_automata,
     "op7_line_spread": op7_line_spread,
+    "op8_set_relations": op8_set_relations,
     "op9_shard_tree": op9_shard_tree,
     "op10_token_files": op10_token_files,
 }
