@@ -12,12 +12,12 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Sequence
-from itertools import chain, islice, pairwise
+from itertools import islice
 
 import numpy as np
 
 #: Parts kept by a worker; bounds its memory, never a result.
-MAX_PARTS = 700_000
+MAX_PARTS = 1_200_000
 #: Added tokens may hold a text together; the other characters are white space to some libraries only.
 _WHOLE = re.compile("<\\||[\x1c-\x1f\x85\u180e\u0130]")
 #: Letters and numbers up to U+024F, where no character combines with another.
@@ -52,15 +52,18 @@ class Encoder:
         self.parts = parts
         self.dtype = np.dtype(id_type(self.tokenizer.get_vocab_size()))
         self.known: dict[str, bytes] = {}
+        self.mark_id, mark = max(self.tokenizer.get_added_tokens_decoder().items())
+        self.mark = mark.content
 
     def _learn(self, parts: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        ids = [e.ids for e in encoded]
+        """Encode new parts in one text, held apart by a special token that no part can contain."""
+        joined = self.tokenizer.encode_batch_fast([self.mark.join(parts)], add_special_tokens=False)[0].ids
+        ids = np.asarray(joined, dtype=self.dtype)
         size = self.dtype.itemsize
-        raw = np.fromiter(chain.from_iterable(ids), dtype=self.dtype).tobytes()
-        ends = np.cumsum([0, *map(len, ids)]) * size
-        cuts = ends.tolist()
-        self.known.update(zip(parts, (raw[a:b] for a, b in pairwise(cuts)), strict=True))
+        ends = np.append(np.nonzero(ids == self.mark_id)[0], len(ids)) * size
+        starts = np.concatenate(([0], ends[:-1] + size))
+        raw = ids.tobytes()
+        self.known.update(zip(parts, (raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), strict=True))
 
     def encode(self, text: str) -> bytes:
         """The ids of one whole text."""
