@@ -138,21 +138,22 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
                 text_col: str = "text", weights: Callable = cyclic_weights,
                 budget_ratio: float = BUDGET_RATIO, max_epochs: int = MAX_EPOCHS,
                 block_words: int = BLOCK_WORDS, shards: int = OUTPUT_SHARDS,
-                seed: int = SEED) -> DataFrame:
+                seed: int = SEED, carry: Sequence[str] = ()) -> DataFrame:
     """One row per row of ``docs`` with what the mix takes of it.
 
-    Returns ``id_col, source_col, size, source_size, target, taken, picks``.
-    ``picks`` are the taken spans: (shard, start, length) in words of the
+    Returns ``id_col, source_col``, the (narrow) columns named in ``carry``,
+    and ``size, source_size, target, taken, picks``.
+    ``picks`` are the taken spans: (shard, epoch, start, length) in words of the
     document, once per time a block is taken; ``taken`` is their total length,
     at most ``max_epochs * size``.
 
     Null or blank text: size 0, nothing taken.  Null source: a source of its
     own, last.  Repeated rows are rows of their own.  Sources without words
-    have target 0.  An empty table gives an empty result.  Columns besides the
-    three named ones are not read, whatever their names.
+    have target 0.  An empty table gives an empty result.  Other columns are
+    not read, whatever their names.
     """
     narrow = materialize(docs.select(
-        F.col(id_col).alias("_id"), F.col(source_col).isNull().alias("_null"),
+        *carry, F.col(id_col).alias("_id"), F.col(source_col).isNull().alias("_null"),
         F.coalesce(F.col(source_col), F.lit("")).alias("_key"),
         word_count(F.col(text_col)).alias("size"))
         .withColumn("_order", F.xxhash64(F.col("_id"), F.lit(seed)))
@@ -168,7 +169,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     return (placed.join(quotas, ["_null", "_key"])
             .withColumn("picks", F.expr(_picks_sql(max_epochs)))
             .select(F.col("_id").alias(id_col),
-                    F.when(~F.col("_null"), F.col("_key")).alias(source_col),
+                    F.when(~F.col("_null"), F.col("_key")).alias(source_col), *carry,
                     "size", "source_size", "target",
                     F.expr("aggregate(picks, 0L, (n, p) -> n + p.length)").alias("taken"), "picks"))
 
@@ -188,8 +189,8 @@ def _picks_sql(max_epochs: int) -> str:
     end = f"((b + 1) * {base} + least(b + 1, {rem}))"
     take = "(e * _blocks + (_mult * b + _shift) % _blocks)"
     span = (f"named_struct('shard', size(filter(_quota_ends, q -> q <= {take})), "
-            f"'start', greatest({begin} - _start, 0L), "
+            f"'epoch', int(e), 'start', greatest({begin} - _start, 0L), "
             f"'length', least({end}, _start + size) - greatest({begin}, _start))")
     per_block = (f"transform(filter(sequence(0L, {max_epochs - 1}L), e -> {take} < _seats), e -> {span})")
-    return (f"IF(size = 0, cast(array() as array<struct<shard:int,start:bigint,length:bigint>>), "
+    return (f"IF(size = 0, cast(array() as array<struct<shard:int,epoch:int,start:bigint,length:bigint>>), "
             f"flatten(transform(sequence({block('_start')}, {block('(_start + size - 1)')}), b -> {per_block})))")

@@ -43,8 +43,9 @@ FEATURES = {
 }
 
 
-def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col`` and the statistics of each whole text, all long.
+def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    carry: Sequence[str] = ()) -> DataFrame:
+    """``id_col``, the columns ``carry`` and the statistics of each whole text, all long.
 
     ``n_repeat_words`` counts the words inside 5-word windows that occur twice
     or more in the text.  Windows are sorted as longs that hold a hash in the
@@ -60,8 +61,9 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             f"slice(_h, int({{a}} & _mask) + 1, {k}) = slice(_h, int({{b}} & _mask) + 1, {k}))")
     twin = (f"(i > 0 AND {same.format(a='x', b='_keys[i - 1]')}) OR "
             f"(i < size(_keys) - 1 AND {same.format(a='x', b='_keys[i + 1]')})")
-    return (docs.select(F.col(id_col), text.alias("_text"), words(text).alias("_words"), lines.alias("_lines"))
-            .select(id_col, F.size("_words").cast("long").alias("n_words"),
+    own = [id_col, *carry]
+    return (docs.select(*own, text.alias("_text"), words(text).alias("_words"), lines.alias("_lines"))
+            .select(*own, F.size("_words").cast("long").alias("n_words"),
                     F.char_length(F.translate("_text", SPACES, "")).cast("long").alias("word_chars"),
                     (F.char_length("_text") - F.char_length(F.translate("_text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
                     F.size("_lines").cast("long").alias("n_lines"),
@@ -77,7 +79,7 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn("n_repeat_words", F.expr(
                 f"aggregate(_at, named_struct('last', bigint(-{k}), 'n', 0L), (s, x) -> "
                 f"named_struct('last', x, 'n', s.n + least({k}L, x - s.last)), s -> s.n)"))
-            .select(id_col, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
+            .select(*own, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
                     "n_distinct_words"))
 
 
@@ -177,10 +179,10 @@ def fit_rules(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  label_col: str = "quality", fit_rows: int = FIT_ROWS) -> DataFrame:
+                  label_col: str = "quality", fit_rows: int = FIT_ROWS, carry: Sequence[str] = ()) -> DataFrame:
     """Statistics and verdict for every row of ``docs``.
 
-    Returns ``id_col``, the statistics, ``base_failed``, ``rule`` (number of the
+    Returns ``id_col``, the columns named in ``carry``, the statistics, ``base_failed``, ``rule`` (number of the
     rule that rejects the row, 0 for none) and ``kept``.
 
     Null or blank text has no words and fails the base rule.  Rows with equal
@@ -188,7 +190,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     learned and the base rule alone decides.  Empty tables give empty results;
     other columns are not read.
     """
-    stats = materialize(text_statistics(docs, id_col, text_col), "quality")
+    stats = materialize(text_statistics(docs, id_col, text_col, carry), "quality")
     rules = fit_rules(stats, labels, id_col, label_col, fit_rows)
     return (stats.withColumn("base_failed", base_failed())
             .withColumn("rule", F.when(F.col("base_failed"), F.lit(0)).otherwise(decision_list(rules)))
