@@ -25,11 +25,14 @@ NEAR = 6 * 1.04 / 2 ** (SKETCH_LOG_K / 2)
 _LINE = ["_h1", "_h2"]
 
 
-def _with_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.withColumns({"_text": F.coalesce(F.col(text_col), F.lit("")),
-                             "_no_id": F.col(id_col).isNull(),
-                             "_id": F.coalesce(F.col(id_col).cast("long"), F.lit(0))}
-                            ).withColumn("_version", F.xxhash64("_text"))
+def _with_keys(docs: DataFrame, id_col: str, site_col: str, text_col: str) -> DataFrame:
+    """The whole row as ``_row``, so that no column of the input can clash, and the columns used here."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
+                       F.coalesce(F.concat(F.lit("="), F.col(site_col).cast("string")), F.lit("")).alias("_site"),
+                       F.col(id_col).isNull().alias("_no_id"),
+                       F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("_id")
+                       ).withColumn("_version", F.xxhash64("_text"))
 
 
 def boilerplate_positions(docs: DataFrame, id_col: str = "doc_id", site_col: str = "source",
@@ -40,10 +43,8 @@ def boilerplate_positions(docs: DataFrame, id_col: str = "doc_id", site_col: str
     """
     line = F.trim(F.col("_line"), F.lit(SPACES))
     lines = materialize(
-        _with_keys(docs, id_col, text_col)
-        .select("_no_id", "_id", "_version",
-                F.coalesce(F.concat(F.lit("="), F.col(site_col).cast("string")), F.lit("")).alias("_site"),
-                F.posexplode(F.split("_text", "\n")).alias("_pos", "_line"))
+        _with_keys(docs, id_col, site_col, text_col)
+        .select("_no_id", "_id", "_version", "_site", F.posexplode(F.split("_text", "\n")).alias("_pos", "_line"))
         .filter(line != "")
         .select("_no_id", "_id", "_version", "_site", "_pos",
                 F.xxhash64(line).alias("_h1"), F.hash(line).alias("_h2")), "lines")
@@ -77,14 +78,14 @@ def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", site_col: str =
     keys = ["_no_id", "_id", "_version"]
     carried = docs.drop("n_lines", "n_removed")
     removed = boilerplate_positions(carried, id_col, site_col, text_col, min_sites)
-    return (_with_keys(carried, id_col, text_col).join(removed, keys, "left")
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "removed")
+    text = F.when(F.col("removed").isNull(), F.col("_row").getField(text_col)).otherwise(
+        F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))
+    return (_with_keys(carried, id_col, site_col, text_col).join(removed, keys, "left")
             .withColumn("_lines", F.split("_text", "\n"))
-            .withColumn("n_lines", F.size("_lines").cast("long"))
-            .withColumn("n_removed", F.coalesce(F.size("removed"), F.lit(0)).cast("long"))
-            .withColumn(text_col, F.when(F.col("removed").isNull(), F.col(text_col)).otherwise(F.array_join(
-                F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "removed"),
-                            lambda i: F.get("_lines", i)), "\n")))
-            .select(*carried.columns, "n_lines", "n_removed"))
+            .select(*[(text if c == text_col else F.col("_row").getField(c)).alias(c) for c in carried.columns],
+                    F.size("_lines").cast("long").alias("n_lines"),
+                    F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed")))
 
 
 #: DuckDB SQL for the rows of the registered query: exact distinct counts.
