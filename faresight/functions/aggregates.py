@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from faresight.functions.scalar import col_or_name
 
-__all__ = ["first_non_null", "sel_", "guarded_corr", "mode_of", "n_unique_with_null"]
+__all__ = ["first_non_null", "guarded_corr", "mode_of"]
 
 
 def first_non_null(c, order_key="Id") -> Column:
@@ -17,11 +17,6 @@ def first_non_null(c, order_key="Id") -> Column:
     return F.min_by(c, F.when(c.isNotNull(), col_or_name(order_key)))
 
 
-def sel_(value, selected="selected") -> Column:
-    """Keep ``value`` only on selected rows (conditional aggregate input, G11)."""
-    return F.when(col_or_name(selected) == 1, col_or_name(value))
-
-
 def guarded_corr(x, y) -> Column:
     """Pearson correlation that gives NaN (not an error / null) for n = 1 and for
     constant inputs, like the reference (S15).  Only rows where both are
@@ -46,8 +41,3 @@ def mode_of(c) -> Column:
     weekdays, tiers)."""
     return F.mode(col_or_name(c), True)
 
-
-def n_unique_with_null(c) -> Column:
-    """``n_unique`` that counts null as a value."""
-    c = col_or_name(c)
-    return F.count_distinct(c) + F.max(c.isNull().cast("int"))

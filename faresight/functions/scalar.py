@@ -11,7 +11,7 @@ from faresight.schema import MAJOR_HUBS, UT_PROGRAMME_CODE, UT_PROGRAMME_TEXT
 
 __all__ = [
     "col_or_name", "parse_duration_minutes", "parse_ts", "iso_weekday", "lead_days",
-    "clip", "row_min", "row_max", "row_sum", "row_mean", "count_not_null",
+    "clip", "row_min", "row_max", "row_mean", "count_not_null",
     "normalise_programme", "is_hub", "safe_div", "contains_or_false", "substr0",
 ]
 
@@ -20,28 +20,24 @@ def col_or_name(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-_DAY_RE = r"^(\d+)\.(\d{2}):(\d{2}):(\d{2})$"
-_HMS_RE = r"^(\d{2}):(\d{2}):(\d{2})$"
-
-
-def _part(c: Column, pattern: str, idx: int) -> Column:
-    # regexp_extract gives '' on no match; try_cast('' as int) is null → 0
-    return F.coalesce(F.regexp_extract(c, pattern, idx).try_cast("int"), F.lit(0))
+# Fixed format of duration texts: hours, minutes and seconds, with days in front or not.
+DURATION_FORMAT = r"^(\d+\.)?\d{2}:\d{2}:\d{2}$"
 
 
 def parse_duration_minutes(c) -> Column:
     """'HH:MM:SS' or 'D.HH:MM:SS' → whole minutes, seconds rounded half-to-even.
 
-    Null, '' and malformed text give 0, never null.
+    Null, '' and malformed text give 0, never null: one match, one split.
     """
     c = col_or_name(c)
-    day_form = (_part(c, _DAY_RE, 1) * 1440 + _part(c, _DAY_RE, 2) * 60 + _part(c, _DAY_RE, 3)
-                + F.bround(_part(c, _DAY_RE, 4) / 60.0, 0).cast("int"))
-    hms_form = (_part(c, _HMS_RE, 1) * 60 + _part(c, _HMS_RE, 2)
-                + F.bround(_part(c, _HMS_RE, 3) / 60.0, 0).cast("int"))
-    return (F.when(c.isNotNull() & (c != ""),
-                   F.when(c.contains("."), day_form).otherwise(hms_form))
-            .otherwise(F.lit(0)))
+    parts = F.split(c, "[.:]")
+
+    def part(i):
+        return F.try_element_at(parts, F.lit(i)).try_cast("int")
+
+    minutes = (F.coalesce(part(-4), F.lit(0)) * 1440 + part(-3) * 60 + part(-2)
+               + F.bround(part(-1) / 60.0, 0).cast("int"))
+    return F.coalesce(F.when(c.rlike(DURATION_FORMAT), minutes), F.lit(0))
 
 
 def parse_ts(c) -> Column:
@@ -86,13 +82,6 @@ def row_max(cols) -> Column:
     return cols[0] if len(cols) == 1 else F.greatest(*cols)
 
 
-def row_sum(cols) -> Column:
-    """sum_horizontal: nulls count as 0; all null → 0."""
-    return reduce(lambda a, b: a + b, [F.coalesce(col_or_name(c).cast("double"), F.lit(0.0))
-                                       if not isinstance(c, Column) else F.coalesce(c, F.lit(0))
-                                       for c in cols])
-
-
 def count_not_null(cols) -> Column:
     return reduce(lambda a, b: a + b, [col_or_name(c).isNotNull().cast("int") for c in cols])
 

@@ -14,13 +14,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faresight.functions.aggregates import first_non_null, guarded_corr, mode_of, n_unique_with_null
+from faresight.functions.aggregates import first_non_null, guarded_corr, mode_of
 from faresight.functions.scalar import (clip, contains_or_false, count_not_null, iso_weekday, is_hub,
                                         lead_days, normalise_programme, row_max, row_mean, row_min,
                                         safe_div)
 from faresight.operators.base import add_parsed_times, add_trip_duration, nearest_tier, percentile_in_session
-from faresight.operators.group_rank import DEFAULT_MAX_GROUP_ROWS, group_rank
+from faresight.operators.group_rank import group_rank
 from faresight.schema import seg_col
+from faresight.sources.store import staged
 
 MARKER = "total_flights_searched"
 
@@ -57,18 +58,24 @@ def row_inputs(df: DataFrame) -> DataFrame:
     )
 
 
-def with_customer_windows(df: DataFrame, single_row_percentile: float = float("nan"),
-                          max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+def with_customer_windows(df: DataFrame, single_row_percentile: float = float("nan")) -> DataFrame:
     """Row-level inputs of the aggregate: price percentile in the session and
-    the price / duration tier of the row within its customer."""
-    rows = df if "_lead" in df.columns else row_inputs(df)
-    s = group_rank(rows, "ranker_id", "totalPrice", "Id", prefix="_s_", max_group_rows=max_group_rows)
-    s = s.withColumn("price_percentile", percentile_in_session(F.col("_s_rank"), F.col("_s_count"),
-                                                               single_row_percentile))
-    p = group_rank(s, "profileId", "totalPrice", "Id", prefix="_p_", max_group_rows=max_group_rows)
-    p = p.withColumn("_price_tier", nearest_tier(F.col("_p_rank"), F.col("_p_count")))
-    d = group_rank(p, "profileId", "leg0_duration_minutes", "Id", prefix="_d_", max_group_rows=max_group_rows)
-    return d.withColumn("_dur_tier", nearest_tier(F.col("_d_rank"), F.col("_d_count")))
+    the price / duration tier of the row within its customer.
+
+    Each rank reads its input twice, so the three ranks are taken from narrow
+    staged tables (id, key, value) and joined to the rows on ``Id``."""
+    rows = df if "_lead" in df.columns else staged(row_inputs(df), "customer-rows")
+    c = F.col
+
+    def place(key, value, out):
+        ranked = group_rank(rows.select("Id", key, value), key, value, "Id", prefix="_w_")
+        return ranked.select("Id", out(c("_w_rank"), c("_w_count")))
+
+    session = place("ranker_id", "totalPrice",
+                    lambda r, n: percentile_in_session(r, n, single_row_percentile).alias("price_percentile"))
+    price = place("profileId", "totalPrice", lambda r, n: nearest_tier(r, n).alias("_price_tier"))
+    duration = place("profileId", "leg0_duration_minutes", lambda r, n: nearest_tier(r, n).alias("_dur_tier"))
+    return rows.join(session, "Id").join(price, "Id").join(duration, "Id")
 
 
 def distinct_aggregates(rows: DataFrame) -> DataFrame:
@@ -190,14 +197,13 @@ def interaction_features() -> list:
     ]
 
 
-def customer_features(df: DataFrame, single_row_percentile: float = float("nan"),
-                      max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
-    """``extract_customer_features``: 62 features per profileId, nulls and NaN → 0
-    in numeric columns (strings keep their nulls)."""
+def customer_features(df: DataFrame, single_row_percentile: float = float("nan")) -> DataFrame:
+    """62 features per profileId, nulls and NaN → 0 in numeric columns (strings
+    keep their nulls).  ``Id`` must be unique."""
     if MARKER in df.columns:  # A5: already aggregated
         return df
-    base = row_inputs(df)
-    rows = with_customer_windows(base, single_row_percentile, max_group_rows)
+    base = staged(row_inputs(df), "customer-rows")
+    rows = with_customer_windows(base, single_row_percentile)
     main = rows.groupBy("profileId").agg(*customer_aggregates(rows))
     dist = distinct_aggregates(base)
     c = F.col

@@ -2,18 +2,17 @@
 
 ``Window.partitionBy(key)`` sends a whole group to one task.  Sessions and
 customers are usually small, but one key may hold a large share of all rows.
-``group_rank`` therefore splits the work:
+So every group is cut into slices of its values by a fixed, order-preserving
+rule: a row is numbered inside its (key, slice), and the sizes of the slices
+before it are added.  Slice sizes are a partial aggregate with at most a few
+thousand rows per key; nothing is measured while the plan is built, and small
+and hot groups take the same path.  Null keys are a group like any other, and
+rows without a value are dealt over slices of their own.
 
-* light keys (at most ``max_group_rows`` rows, measured by a partial
-  aggregate) use a plain window – one exchange, shared by every output;
-* heavy keys are range-partitioned on (key, value, tie), so a hot key is
-  spread over many partitions; each partition numbers its own slice and the
-  slice offsets (a table of at most #heavy keys × #partitions rows) are added
-  back.  ``rank('min')`` is 1 + the number of smaller values, taken from a
-  prefix sum over pre-aggregated (key, value) counts joined back on
-  (key, value), so even a single hot value never lands in one task.
+The input is read twice; hand over a scan or a staged table.  Rows of one key
+whose values fall into one slice are sorted in one task.
 
-Outputs (all null where the value column is null, like the reference):
+Outputs (rank and ordinal are null where the value column is null):
 ``<prefix>rank``   – rank('min') by the value column,
 ``<prefix>ordinal``– rank('ordinal') by value then tie-breaker,
 ``<prefix>count``  – non-null values in the group,
@@ -22,89 +21,50 @@ Outputs (all null where the value column is null, like the reference):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
-DEFAULT_MAX_GROUP_ROWS = 5_000_000
-# Broadcast bound for the heavy-key table: heavy keys have > max_group_rows
-# rows each, so their number is at most total_rows / max_group_rows.
-MAX_HEAVY_KEYS = 100_000
+#: Slices per factor e of a number's size; a price range of 1 to a million has 884.
+SLICES_PER_E = 64
+#: Leading characters of a string that make its slice.
+SLICE_CHARS = 2
+#: Slices that rows without a value are dealt over.
+NULL_SLICES = 64
 
 
-def _light(df: DataFrame, key: str, value: str, tie: str, prefix: str) -> DataFrame:
-    w_all = Window.partitionBy(key)
-    w_val = Window.partitionBy(key).orderBy(F.col(value).asc_nulls_last())
-    w_ord = Window.partitionBy(key).orderBy(F.col(value).asc_nulls_last(), F.col(tie))
-    v = F.col(value)
-    return df.select(
-        "*",
-        F.when(v.isNotNull(), F.rank().over(w_val)).alias(prefix + "rank"),
-        F.when(v.isNotNull(), F.row_number().over(w_ord)).alias(prefix + "ordinal"),
-        F.count(v).over(w_all).alias(prefix + "count"),
-        F.min(v).over(w_all).alias(prefix + "min"),
-    )
+def _slice(df: DataFrame, value: str, tie: str) -> Column:
+    """Slice name: never decreases as the value grows."""
+    kind, v = df.schema[value].dataType, F.col(value)
+    dealt = F.pmod(F.xxhash64(F.col(tie)), F.lit(NULL_SLICES))
+    if isinstance(kind, StringType):
+        return F.when(v.isNull(), F.concat(F.lit("null"), dealt)).otherwise(F.concat(F.lit("="), F.substring(v, 1, SLICE_CHARS)))
+    if not isinstance(kind, NumericType):
+        raise TypeError(f"{value}: numbers and strings can be ranked, not {kind.simpleString()}")
+    d = v.cast("double")
+    size = (F.signum(d) * F.floor(F.log1p(F.abs(d)) * SLICES_PER_E)).cast("long")
+    # ±infinity and NaN sort at the ends
+    size = (F.when(F.isnan(d), F.lit(1 << 40)).when(d == float("inf"), F.lit((1 << 40) - 1))
+            .when(d == float("-inf"), F.lit(-(1 << 40))).otherwise(size))
+    return F.when(v.isNull(), -F.lit(1 << 41) - dealt).otherwise(size)
 
 
-def _before(df: DataFrame, key: str, order: list[str], weight: str, partitions: int) -> DataFrame:
-    """Sum of ``weight`` over the rows of the same key that sort strictly before
-    each row by ``order`` (unique within a key) – a distributed prefix sum.
-
-    Rows are range-partitioned on (key, order), so one key spreads over many
-    partitions; each partition computes its local running sum and adds the
-    total of the key's earlier partitions (a table of ≤ keys × partitions rows).
-    """
-    ranged = (df.repartitionByRange(partitions, F.col(key), *[F.col(o) for o in order])
-                .withColumn("_pid", F.spark_partition_id()))
-    w_loc = (Window.partitionBy(key, "_pid").orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding, -1))
-    local = ranged.withColumn("_lb", F.coalesce(F.sum(weight).over(w_loc), F.lit(0)))
-    sizes = ranged.groupBy(key, "_pid").agg(F.sum(weight).alias("_n"))
-    offsets = sizes.select(
-        key, "_pid",
-        F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy("_pid")
-                                    .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), [key, "_pid"])
-                 .withColumn("_before", F.col("_off") + F.col("_lb"))
-                 .drop("_pid", "_lb", "_off"))
-
-
-def _heavy(df: DataFrame, key: str, value: str, tie: str, prefix: str,
-           partitions: int) -> DataFrame:
-    v = F.col(value)
-    stats = df.groupBy(key).agg(F.count(v).alias(prefix + "count"), F.min(v).alias(prefix + "min"))
-    nn = df.filter(v.isNotNull())
-    # ordinal: position by (value, tie); (key, value, tie) is unique → balanced ranges
-    ordinal = (_before(nn.withColumn("_w", F.lit(1)), key, [value, tie], "_w", partitions)
-               .withColumn(prefix + "ordinal", (F.col("_before") + 1).cast("int"))
-               .drop("_w", "_before"))
-    # rank('min'): 1 + rows with a smaller value, from pre-aggregated distinct values
-    distinct = nn.groupBy(key, value).agg(F.count(F.lit(1)).alias("_w"))
-    ranks = (_before(distinct, key, [value], "_w", partitions)
-             .select(key, value, (F.col("_before") + 1).cast("int").alias(prefix + "rank")))
-    ranked = ordinal.join(ranks, [key, value])
-    nulls = (df.filter(v.isNull())
-               .withColumn(prefix + "ordinal", F.lit(None).cast("int"))
-               .withColumn(prefix + "rank", F.lit(None).cast("int")))
-    return ranked.unionByName(nulls).join(F.broadcast(stats), key)
-
-
-def group_rank(df: DataFrame, key: str, value: str, tie: str, prefix: str = "g_",
-               max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-               heavy_partitions: int | None = None) -> DataFrame:
+def group_rank(df: DataFrame, key: str, value: str, tie: str, prefix: str = "g_") -> DataFrame:
     """Add rank / ordinal / count / min of ``value`` within ``key`` groups."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    heavy_keys = counts.filter(F.col("_rows") > max_group_rows).select(key)
-    n_heavy = heavy_keys.count()
-    if n_heavy == 0:
-        return _light(df, key, value, tie, prefix)
-    if n_heavy > MAX_HEAVY_KEYS:
-        raise ValueError(f"{n_heavy} keys above {max_group_rows} rows; raise max_group_rows")
-    spark = df.sparkSession
-    parts = heavy_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hk = F.broadcast(heavy_keys)
-    light_rows = df.join(hk, key, "left_anti")
-    heavy_rows = df.join(hk, key, "left_semi")
-    out_cols = df.columns + [prefix + s for s in ("rank", "ordinal", "count", "min")]
-    return (_light(light_rows, key, value, tie, prefix).select(out_cols)
-            .unionByName(_heavy(heavy_rows, key, value, tie, prefix, parts).select(out_cols)))
+    v, here = F.col(value), f"_{prefix}slice"
+    rows = df.withColumn(here, _slice(df, value, tie))
+    of_key = Window.partitionBy("_key")
+    bases = (rows.groupBy(F.col(key).alias("_key"), F.col(here).alias("_slice"))
+             .agg(F.count(v).alias("_n"), F.min(v).alias("_min"))
+             .select("_key", "_slice",
+                     F.coalesce(F.sum("_n").over(of_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)),
+                                F.lit(0)).alias("_before"),
+                     F.sum("_n").over(of_key).alias(prefix + "count"), F.min("_min").over(of_key).alias(prefix + "min")))
+    inside = Window.partitionBy(key, here)
+    local = rows.select("*", F.rank().over(inside.orderBy(value)).alias("_rank"),
+                        F.row_number().over(inside.orderBy(value, tie)).alias("_ordinal"))
+    return (local.join(bases, local[key].eqNullSafe(bases["_key"]) & (local[here] == bases["_slice"]))
+            .select(*[local[c] for c in df.columns],
+                    F.when(v.isNotNull(), F.col("_before") + F.col("_rank")).alias(prefix + "rank"),
+                    F.when(v.isNotNull(), F.col("_before") + F.col("_ordinal")).alias(prefix + "ordinal"),
+                    prefix + "count", prefix + "min"))

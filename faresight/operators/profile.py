@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from faresight.functions.scalar import col_or_name
-
 
 def unique_counts(df: DataFrame) -> DataFrame:
     """Distinct sessions and customers."""
@@ -40,14 +38,6 @@ def sessions_per_customer(df: DataFrame) -> DataFrame:
               .orderBy(F.col("sessions").desc(), "profileId"))
 
 
-def nearest_quantile_expr(c, q: float):
-    """Nearest-rank quantile over a group's sorted values (S5).  Buffers the
-    group's values: use on already-aggregated, bounded inputs only."""
-    arr = F.sort_array(F.collect_list(col_or_name(c)))
-    idx = F.round((F.size(arr) - 1) * q).cast("int")
-    return F.get(arr, idx)
-
-
 def describe_counts(counts: DataFrame, c: str) -> DataFrame:
     """describe() and box-plot statistics of a count column.
 
@@ -104,11 +94,11 @@ def dtype_histogram(profile: DataFrame) -> DataFrame:
     return profile.groupBy("data_type").agg(F.count(F.lit(1)).alias("columns")).orderBy(F.col("columns").desc(), "data_type")
 
 
-def missing_band(profile: DataFrame, band: str) -> DataFrame:
-    """C11: =0, (0,10), [10,50), ≥50 percent missing, most missing first."""
+def missing_bands(profile: DataFrame) -> DataFrame:
+    """C11: each column's band of missing share: =0, (0,10), [10,50), ≥50 percent."""
     p = F.col("missing_percentage")
-    cond = {"none": p == 0, "low": (p > 0) & (p < 10), "mid": (p >= 10) & (p < 50), "high": p >= 50}[band]
-    return profile.filter(cond).orderBy(F.col("missing_count").desc(), "column")
+    band = F.when(p == 0, "none").when(p < 10, "low").when(p < 50, "mid").otherwise("high")
+    return profile.select("column", "missing_count", "missing_percentage", band.alias("band"))
 
 
 def _stack(df: DataFrame, cols: list[str], name: str = "code") -> DataFrame:

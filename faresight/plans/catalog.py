@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from faresight.operators.group_rank import group_rank
 from faresight.operators.metrics import hit_rate_at_k
 from faresight.sources.binding import candidates
+from faresight.sources.store import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -36,15 +37,15 @@ def q_candidates(spark, sf_dir):
     return candidates(spark, sf_dir)
 
 
-def price_rank_scored(spark, sf_dir) -> DataFrame:
-    return price_rank_scored_from(candidates(spark, sf_dir))
+def price_rank_scored(spark, sf_dir, keep=()) -> DataFrame:
+    return price_rank_scored_from(candidates(spark, sf_dir), keep)
 
 
-def price_rank_scored_from(cand: DataFrame) -> DataFrame:
-    """Scorer = cheapest first: y_pred = −price_rank_pct."""
-    cand = cand.select("Id", "ranker_id", "totalPrice", "selected")
+def price_rank_scored_from(cand: DataFrame, keep=()) -> DataFrame:
+    """Scorer = cheapest first: y_pred = −price_rank_pct.  Staged: metrics read it twice."""
+    cand = staged(cand.select("Id", "ranker_id", "totalPrice", "selected", *keep), "prices")
     ranked = group_rank(cand, "ranker_id", "totalPrice", "Id", prefix="p_")
-    return ranked.withColumn("y_pred", -(F.col("p_ordinal") / F.col("p_count")))
+    return staged(ranked.withColumn("y_pred", -(F.col("p_ordinal") / F.col("p_count"))), "scored")
 
 
 @register("price_rank_hit_rate")
@@ -156,10 +157,7 @@ def q_profile_dtype_histogram(spark, sf_dir):
 
 @register("profile_missing_bands")
 def q_profile_missing_bands(spark, sf_dir):
-    prof = P.missing_profile(candidates(spark, sf_dir))
-    p = F.col("missing_percentage")
-    band = (F.when(p == 0, "none").when(p < 10, "low").when(p < 50, "mid").otherwise("high"))
-    return prof.select("column", "missing_count", "missing_percentage", band.alias("band"))
+    return P.missing_bands(P.missing_profile(candidates(spark, sf_dir)))
 
 
 @register("profile_distinct_carriers")
@@ -246,8 +244,7 @@ def q_random_baseline(spark, sf_dir):
 @register("price_rank_hit_rate_by_vip")
 def q_price_rank_hit_rate_by_vip(spark, sf_dir):
     """K11 shape: hit rate per group (here the VIP flag of the session's customer)."""
-    scored = price_rank_scored(spark, sf_dir).join(
-        candidates(spark, sf_dir).select("Id", F.col("isVip").cast("int").alias("is_vip")), "Id")
+    scored = price_rank_scored(spark, sf_dir, [F.col("isVip").cast("int").alias("is_vip")])
     hr = M.hit_rate_at_k(scored, k=3, by=["is_vip"])
     return hr.select("is_vip", "k", "sessions", "hits", r6(F.col("hit_rate")).alias("hit_rate"))
 

@@ -7,12 +7,15 @@ binding itself.
 
 from __future__ import annotations
 
-HUB_CODES = "ATLDXBDFWHNDLHRDENORDISTPVGICN"
+from faresight.schema import MAJOR_HUBS
+
+HUB_CODES = MAJOR_HUBS[:10]
 UT_PREFIX = "- ЮТэйр ЗАО/"
 
 
 def _code(n: str) -> str:
-    return (f"(CASE WHEN ({n}) < 10 THEN substring('{HUB_CODES}', ({n})*3+1, 3) "
+    hubs = ", ".join(f"'{h}'" for h in HUB_CODES)
+    return (f"(CASE WHEN ({n}) < 10 THEN [{hubs}][({n}) + 1] "
             f"ELSE 'X' || lpad(CAST(({n}) AS VARCHAR), 2, '0') END)")
 
 

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-HUBS_SQL = "('ATL','DXB','DFW','HND','LHR','DEN','ORD','IST','PVG','ICN','CDG','JFK','CLT','MEX','SFO','EWR','MIA','BKK','GRU','HKG')"
+from faresight.schema import MAJOR_HUBS
+
+HUBS_SQL = "(" + ", ".join(f"'{h}'" for h in MAJOR_HUBS) + ")"
 
 
 def dur_sql(c: str) -> str:
-    """Duration text → minutes (null, '', malformed → 0)."""
-    day = r"'^(\d+)\.(\d{2}):(\d{2}):(\d{2})$'"
-    hms = r"'^(\d{2}):(\d{2}):(\d{2})$'"
-
-    def part(p, i):
-        return f"coalesce(TRY_CAST(regexp_extract({c}, {p}, {i}) AS INTEGER), 0)"
-    dayf = (f"{part(day, 1)}*1440 + {part(day, 2)}*60 + {part(day, 3)} + "
-            f"CAST(round_even({part(day, 4)}/60.0, 0) AS INTEGER)")
-    hmsf = f"{part(hms, 1)}*60 + {part(hms, 2)} + CAST(round_even({part(hms, 3)}/60.0, 0) AS INTEGER)"
-    return (f"(CASE WHEN {c} IS NOT NULL AND {c} <> '' THEN "
-            f"(CASE WHEN contains({c}, '.') THEN {dayf} ELSE {hmsf} END) ELSE 0 END)")
+    """Duration text → minutes (null, '', malformed → 0): the text cut at its
+    separators; 31 to 89 seconds are one minute, more are two."""
+    p = f"string_split(replace({c}, '.', ':'), ':')"
+
+    def n(i):
+        return f"CAST({p}[{i}] AS INTEGER)"
+    return (f"(CASE WHEN regexp_full_match({c}, '([0-9]+[.])?[0-9][0-9](:[0-9][0-9])(:[0-9][0-9])') THEN "
+            f"(CASE WHEN len({p}) = 4 THEN {n(1)} * 1440 ELSE 0 END) + {n(-3)} * 60 + {n(-2)} "
+            f"+ (CASE WHEN {n(-1)} <= 30 THEN 0 WHEN {n(-1)} < 90 THEN 1 ELSE 2 END) ELSE 0 END)")
 
 
 def seg(L, S, a):

@@ -9,6 +9,7 @@ only chosen here when the session has none (tests, local runs).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,11 +39,11 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts.
+    """Shared folder for lineage cuts and stages.
 
-    Uses the cluster's ``spark.checkpoint.dir`` (or a directory already set on
-    the SparkContext).  Only when neither is set – a local test run – a fresh
-    temporary folder is created and registered.
+    Uses the directory set on the SparkContext or ``spark.checkpoint.dir``.
+    Only a local session, as in tests, gets a temporary folder when neither is
+    set; on a cluster that would be a folder the executors do not share.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="faresight-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

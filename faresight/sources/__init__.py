@@ -1,6 +1,6 @@
 """Sources and sinks: table reading, the option-level binding, stage store."""
 
-from faresight.sources.tables import read_table, read_tables
+from faresight.sources.tables import read_table
 from faresight.sources.binding import candidates
 
-__all__ = ["read_table", "read_tables", "candidates"]
+__all__ = ["read_table", "candidates"]

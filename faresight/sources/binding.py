@@ -13,19 +13,19 @@ below the broadcast threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.schema import LEGS, SEGMENTS
+from faresight.schema import LEGS, MAJOR_HUBS, SEGMENTS
 from faresight.sources.tables import read_table
 
-# Fixed values of the binding: ten hub codes packed three letters each.
-HUB_CODES = "ATLDXBDFWHNDLHRDENORDISTPVGICN"
+# Fixed values of the binding: places 0 to 9 are the first ten hubs.
+HUB_CODES = MAJOR_HUBS[:10]
 UT_PREFIX = "- ЮТэйр ЗАО/"
 
 
 def _code(n: Column) -> Column:
-    return F.when(n < 10, F.substr(F.lit(HUB_CODES), n * 3 + 1, F.lit(3))) \
+    return F.when(n < 10, F.get(F.array(*[F.lit(x) for x in HUB_CODES]), n.cast("int"))) \
         .otherwise(F.concat(F.lit("X"), F.lpad(n.cast("string"), 2, "0")))
 
 
@@ -61,7 +61,11 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     pa = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
 
+    # the offer a session takes: largest discount, then lowest price; combined map-side, so a hot session is one row per task
+    offer = F.struct((-F.col("l_discount")).alias("a"), F.col("l_extendedprice").alias("b"))
+    taken = li.groupBy(F.col("l_orderkey").alias("_order")).agg(F.min(offer).alias("_taken"))
     j = (li.join(od, li.l_orderkey == od.o_orderkey)
+           .join(taken, F.col("l_orderkey") == F.col("_order"))
            .join(cu, F.col("o_custkey") == cu.c_custkey)
            .join(su, F.col("l_suppkey") == su.s_suppkey)
            .join(pa, F.col("l_partkey") == pa.p_partkey))
@@ -81,8 +85,6 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     ff_mod = c("c_custkey") % 5
     ff1 = _car(c("c_custkey") % 25 + 1)
     ff2 = _car((c("c_custkey") + 7) % 25 + 1)
-    rn = F.row_number().over(Window.partitionBy("l_orderkey")
-                             .orderBy(c("l_discount").desc(), c("l_extendedprice")))
 
     cols = [
         (c("l_orderkey") * 1000000000 + F.round(c("l_extendedprice") * 100).cast("long")).alias("Id"),
@@ -137,5 +139,5 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .alias(p + "baggageAllowance_quantity"),
                 F.when(ex, btype).alias(p + "baggageAllowance_weightMeasurementType"),
             ]
-    cols.append(F.when((c("o_orderstatus") != "P") & (rn == 1), 1).otherwise(0).alias("selected"))
+    cols.append(F.when((c("o_orderstatus") != "P") & (offer == c("_taken")), 1).otherwise(0).alias("selected"))
     return j.select(*cols)

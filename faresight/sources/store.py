@@ -1,41 +1,48 @@
-"""Stage store (A3, A4, A8): parquet tables between stages.
+"""Stage store (A3, A4): parquet tables between stages and between runs.
 
-Stage outputs go under the shared ``spark.checkpoint.dir`` (never a
-machine-local folder on a cluster).  Writing a stage both reuses work and cuts
+Stages live in a folder that driver and executors share: below
+``spark.checkpoint.dir`` for a run's own tables, or a path the caller gives
+for stages that later runs reuse.  Writing a stage reuses work and cuts
 lineage, so a lost executor only recomputes from the last written stage.
 """
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from faresight.session import scratch_path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to ``path`` completely."""
     jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    mark = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
 
 
 def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
 
 
-def stage(spark: SparkSession, name: str, build, required: list[str] | None = None,
-          path: str | None = None, partition_by: list[str] | None = None) -> DataFrame:
-    """Load stage ``name`` if it was written and has the ``required`` columns,
-    otherwise build it, write it and read it back."""
-    path = path or scratch_path(spark, name)
-    if _exists(spark, path):
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new path of this run and read again."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def load_or_build(spark: SparkSession, path: str, build, required: list[str] | None = None,
+                  partition_by: list[str] | None = None) -> DataFrame:
+    """The stage at ``path`` if it was written and has the ``required`` columns,
+    otherwise ``build()``, written there and read back (A4)."""
+    if exists(spark, path):
         df = spark.read.parquet(path)
-        if not required or all(c in df.columns for c in required):
+        if set(required or ()) <= set(df.columns):
             return df
     write_stage(build(), path, partition_by)
     return spark.read.parquet(path)

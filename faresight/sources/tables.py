@@ -12,6 +12,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = os.path.join(sf_dir, f"{name}.parquet")
     return spark.read.parquet(path)
 
-
-def read_tables(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:
-    return {n: read_table(spark, sf_dir, n) for n in names}

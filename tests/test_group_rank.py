@@ -1,35 +1,72 @@
-"""group_rank: the split (heavy) path must equal the plain-window path."""
+"""group_rank: slices must give what one window over the whole group gives."""
 
 import random
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from faresight.operators.group_rank import group_rank
+from faresight.operators.split import session_assignment
+from faresight.sources.store import staged
 
 
-def _frame(spark):
-    rnd = random.Random(7)
-    rows = []
-    for i in range(400):
-        key = "hot" if i % 3 else f"k{i % 7}"
-        val = None if i % 37 == 0 else float(rnd.randint(0, 12))
-        rows.append((i, key, val))
-    return spark.createDataFrame(rows, "Id long, key string, v double")
+def _plain(df, key, value, tie):
+    w, v = Window.partitionBy(key), F.col(value)
+    return df.select("*", F.when(v.isNotNull(), F.rank().over(w.orderBy(v.asc_nulls_last()))).alias("g_rank"),
+                     F.when(v.isNotNull(), F.row_number().over(w.orderBy(v.asc_nulls_last(), tie))).alias("g_ordinal"),
+                     F.count(v).over(w).alias("g_count"), F.min(v).over(w).alias("g_min"))
+
+
+def _differences(df, key, value, tie):
+    a = group_rank(df, key, value, tie)
+    return a.exceptAll(_plain(df, key, value, tie).select(*[F.col(c).cast(t) for c, t in a.dtypes])).count()
+
+
+def test_hot_key_with_extra_columns(spark):
+    """400,000 rows, 70 % in one key, a hot null key, equal values, infinities and NaN."""
+    n = F.col("id")
+    h = F.pmod(F.xxhash64("id"), F.lit(1000003))
+    value = (F.when(h % 41 == 0, None).when(h % 997 == 0, float("inf")).when(h % 991 == 0, float("-inf"))
+             .when(h % 983 == 0, float("nan")).when(h % 5 == 0, F.lit(125.5)).when(h % 3 == 0, -(h % 5000) / 7.0)
+             .otherwise(F.exp((h % 100000) / 7000.0)))
+    key = F.when(n % 10 < 7, "hot").when(n % 10 < 9, None).otherwise(F.concat(F.lit("k"), h % 5000))
+    df = staged(spark.range(400_000).select(F.col("id").alias("Id"), key.alias("key"), value.cast("double").alias("v"),
+                                            F.sha2(n.cast("string"), 256).alias("extra"), F.lit("x").alias("_n")), "ranks")
+    assert _differences(df, "key", "v", "Id") == 0
 
 
-def test_heavy_equals_light(spark):
-    df = _frame(spark)
-    light = group_rank(df, "key", "v", "Id", prefix="g_").orderBy("Id").collect()
-    heavy = group_rank(df, "key", "v", "Id", prefix="g_", max_group_rows=10,
-                       heavy_partitions=5).orderBy("Id").collect()
-    assert [r.asDict() for r in light] == [r.asDict() for r in heavy]
+def test_strings_and_integers(spark):
+    rnd = random.Random(7)
+    rows = [(i, rnd.choice(["a", "b", None]), rnd.choice([None, "", "a", "aa", "ab", "é", "zz" * rnd.randint(1, 3)]),
+             rnd.choice([None, 0, -5, 5, rnd.randint(-10**12, 10**12)])) for i in range(500)]
+    df = spark.createDataFrame(rows, "Id long, key string, s string, n long")
+    assert _differences(df, "key", "s", "Id") == 0
+    assert _differences(df, "key", "n", "Id") == 0
 
 
 def test_rank_semantics(spark):
     df = spark.createDataFrame([(1, "s", 10.0), (2, "s", 10.0), (3, "s", 20.0), (4, "s", 20.0),
                                 (5, "s", None)], "Id long, key string, v double")
-    for kw in ({}, {"max_group_rows": 1, "heavy_partitions": 3}):
-        out = {r.Id: r for r in group_rank(df, "key", "v", "Id", **kw).collect()}
-        assert [out[i].g_rank for i in range(1, 6)] == [1, 1, 3, 3, None]
-        assert [out[i].g_ordinal for i in range(1, 6)] == [1, 2, 3, 4, None]
-        assert out[1].g_count == 4 and out[5].g_min == 10.0
+    out = {r.Id: r for r in group_rank(df, "key", "v", "Id").collect()}
+    assert [out[i].g_rank for i in range(1, 6)] == [1, 1, 3, 3, None]
+    assert [out[i].g_ordinal for i in range(1, 6)] == [1, 2, 3, 4, None]
+    assert out[1].g_count == 4 and out[5].g_min == 10.0
+
+
+def test_building_the_plan_runs_no_job(spark):
+    df = spark.range(10).selectExpr("id AS Id", "id % 2 AS key", "double(id) AS v")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    group_rank(df, "key", "v", "Id")
+    assert tracker.getJobIdsForGroup("build") in ([], ())
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_split_of_a_heavy_bin(spark):
+    """All 200,000 sessions fall into one size bin; the first ceil(20 %) by hash are test."""
+    df = spark.range(200_000).selectExpr("concat('S', id) AS ranker_id")
+    got = session_assignment(df)
+    h = F.md5(F.concat(F.col("ranker_id"), F.lit("|42")))
+    rn = F.row_number().over(Window.orderBy(h, "ranker_id"))
+    want = df.select("ranker_id", (rn <= 40_000).alias("is_test"))
+    assert got.select("ranker_id", "is_test").exceptAll(want).count() == 0
