@@ -7,10 +7,12 @@ aggregation, and wide per-column profiles are a single ``agg`` followed by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from faresight.sources.store import staged
+
 
 def unique_counts(df: DataFrame) -> DataFrame:
     """Distinct sessions and customers."""
@@ -39,22 +41,58 @@ def sessions_per_customer(df: DataFrame) -> DataFrame:
 
 
 def describe_counts(counts: DataFrame, c: str) -> DataFrame:
-    """describe() and box-plot statistics of a count column.
+    """describe() and box-plot statistics of a count column, in one row.
 
-    Quartiles are exact (``percentile``, linear like describe's 25/50/75 %);
-    the per-value buffer is bounded because counts take few distinct values."""
+    ``q25, median, q75`` are nearest-rank quantiles (S5): the value at sorted
+    place round((n − 1) q).  The box (``box_q25, box_q75`` and fences at 1.5
+    times their distance) uses linear interpolation, like plots do.  Values are
+    counted first, so both work on one row per distinct value, placed by the
+    number of values before it."""
     v = F.col(c).cast("double")
-    stats = counts.agg(
-        F.count(v).alias("count"), F.sum(v.isNull().cast("int")).alias("null_count"),
-        F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
-        F.percentile(v, 0.25).alias("q25"), F.percentile(v, 0.5).alias("median"),
-        F.percentile(v, 0.75).alias("q75"), F.max(v).alias("max"))
-    iqr = F.col("q75") - F.col("q25")
-    stats = stats.select("*", (F.col("q25") - 1.5 * iqr).alias("lower_fence"),
-                         (F.col("q75") + 1.5 * iqr).alias("upper_fence"))
-    outl = counts.crossJoin(stats.select("lower_fence", "upper_fence")).agg(
-        F.sum(((v < F.col("lower_fence")) | (v > F.col("upper_fence"))).cast("long")).alias("outliers"))
-    return stats.crossJoin(outl)
+    tally = staged(counts.filter(v.isNotNull()).groupBy(v.alias("v")).agg(F.count(F.lit(1)).alias("n")), "tally")
+    nulls = counts.agg(F.sum(v.isNull().cast("long")).alias("null_count"))
+    ends = bucketed_ends(tally)
+    n = F.sum("n")
+    stats = tally.agg(n.alias("count"), (F.sum(F.col("v") * F.col("n")) / n).alias("mean"), F.min("v").alias("min"),
+                      F.max("v").alias("max"))
+    mean_sq = F.sum((F.col("v") - F.col("mean")) ** 2 * F.col("n"))
+    std = tally.crossJoin(stats.select("mean", "count")).agg(
+        F.sqrt(F.try_divide(mean_sq, F.max("count") - 1)).alias("std"))
+
+    def at(place):
+        """Value at a 0-based sorted place."""
+        return F.min(F.when(F.col("end") > place, F.col("v")))
+
+    picks, names = [], {}
+    for q, name in ((0.25, "q25"), (0.5, "median"), (0.75, "q75")):
+        place = (F.col("count") - 1) * q
+        names[name] = place
+        picks += [at(F.round(place)).alias(name), at(F.floor(place)).alias(f"_lo_{name}"), at(F.ceil(place)).alias(f"_hi_{name}")]
+    found = ends.crossJoin(stats.select("count")).groupBy("count").agg(*picks)
+    for name in ("q25", "q75"):
+        w = names[name] - F.floor(names[name])
+        found = found.withColumn(f"box_{name}", F.col(f"_lo_{name}") + w * (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")))
+    iqr = F.col("box_q75") - F.col("box_q25")
+    box = found.select("q25", "median", "q75", "box_q25", "box_q75", (F.col("box_q25") - 1.5 * iqr).alias("lower_fence"),
+                       (F.col("box_q75") + 1.5 * iqr).alias("upper_fence"))
+    outside = (F.col("v") < F.col("lower_fence")) | (F.col("v") > F.col("upper_fence"))
+    outliers = tally.crossJoin(box.select("lower_fence", "upper_fence")).agg(
+        F.sum(F.when(outside, F.col("n")).otherwise(0)).cast("long").alias("outliers"))
+    return (stats.crossJoin(nulls).crossJoin(std).crossJoin(box).crossJoin(outliers)
+            .select("count", "null_count", "mean", "std", "min", "q25", "median", "q75", "max", "box_q25", "box_q75",
+                    "lower_fence", "upper_fence", "outliers"))
+
+
+def bucketed_ends(tally: DataFrame) -> DataFrame:
+    """``v, end``: number of values up to and including v, from (v, n) rows.
+
+    Sums run inside slices of v, after the totals of the slices below."""
+    sliced = tally.withColumn("_s", F.floor(F.log1p(F.abs("v")) * 8 * F.signum("v")))
+    below = (sliced.groupBy("_s").agg(F.sum("n").alias("_t"))
+             .withColumn("_before", F.coalesce(F.sum("_t").over(
+                 Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_t"))
+    inside = F.sum("n").over(Window.partitionBy("_s").orderBy("v"))
+    return sliced.withColumn("_in", inside).join(below, "_s").select("v", (F.col("_before") + F.col("_in")).alias("end"))
 
 
 def histogram(counts: DataFrame, c: str, bins: int = 50) -> DataFrame:

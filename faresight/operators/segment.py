@@ -4,11 +4,11 @@ centroids → nearest-centroid assignment, plus cluster reports.
 Scale notes
 * Encoders are fitted with aggregates; what reaches the driver is bounded
   (top-10 programme tokens; frequency maps stay DataFrames and are joined).
-* Robust-scaler quantiles use ``percentile_approx`` (mergeable sketches,
-  bounded memory per column) instead of an exact per-column value map.
+* Robust-scaler quantiles are exact and interpolated, from distributed ranks
+  over the stacked columns.
 * PCA fits a d×d covariance with a tree aggregate (d ≈ 70).
-* Clustering uses MLlib ``KMeans`` (k-means||, seeded) swept over k and
-  chosen by silhouette.  The reference's agglomerative clustering and its
+* Clustering uses MLlib ``KMeans`` (k-means||, seeded), Gaussian mixtures or
+  bisecting k-means, swept and chosen by the squared-Euclidean silhouette.  The reference's agglomerative clustering and its
   Euclidean silhouette need every pairwise distance, which this library does
   not materialise.
 * Silhouette is exact for squared Euclidean distance via per-cluster sums
@@ -20,17 +20,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from faresight.operators.group_rank import group_rank
 from faresight.schema import ENCODER_SKIP
+from faresight.sources.store import staged
 
 PROGRAMME_COL = "frequent_flyer"
-MAX_BROADCAST_CATEGORIES = 1_000_000
 
 
 # ------------------------------------------------------------------ encoding
@@ -64,6 +65,12 @@ def fit_encoders(df: DataFrame, top_n: int = 10) -> Encoders:
     return enc
 
 
+def programme_flags(df: DataFrame, tokens: list[str], col: str = PROGRAMME_COL) -> list:
+    """1 / 0 per programme token, null where a customer has no programme (filled later)."""
+    filled = F.col(col).isNotNull() & (F.col(col) != "")
+    return [F.when(filled, F.array_contains(F.split(F.col(col), "/"), t).cast("int")).alias(f"ff_{t}") for t in tokens]
+
+
 def apply_encoders(df: DataFrame, enc: Encoders) -> DataFrame:
     """Multi-hot top programmes + programme count, frequency-encode the other
     categoricals (unseen / null → 0), drop the originals, nulls → 0."""
@@ -72,33 +79,50 @@ def apply_encoders(df: DataFrame, enc: Encoders) -> DataFrame:
     if PROGRAMME_COL in cats:
         toks = F.split(F.col(PROGRAMME_COL), "/")
         filled = F.col(PROGRAMME_COL).isNotNull() & (F.col(PROGRAMME_COL) != "")
-        out = out.select("*", *[F.when(filled, F.array_contains(toks, t).cast("int")).alias(f"ff_{t}")
-                                for t in enc.top_programmes],
+        out = out.select("*", *programme_flags(out, enc.top_programmes),
                          F.when(filled, F.size(toks)).otherwise(0).alias("ff_program_count"))
     for col, freq in enc.frequency.items():
         if col not in cats:
             continue
-        n_cat = freq.count()
-        right = F.broadcast(freq) if n_cat <= MAX_BROADCAST_CATEGORIES else freq
-        out = out.join(right, col, "left")
+        out = out.join(freq, col, "left")
     out = out.drop(*cats)
     return out.na.fill(0)
 
 
 # ------------------------------------------------------------------ scaling
-def fit_robust_scaler(df: DataFrame, cols: list[str], accuracy: int = 100_000) -> dict[str, tuple[float, float]]:
-    """(center, scale) per column: median and q75 − q25 (scale 0 → 1).
-    One pass; each quantile is a bounded-memory mergeable sketch."""
-    aggs = []
-    for c in cols:
-        aggs.append(F.percentile_approx(F.col(c).cast("double"), [0.25, 0.5, 0.75], accuracy).alias(c))
-    row = df.agg(*aggs).collect()[0]   # one row: 3 numbers per column
-    out = {}
-    for c in cols:
-        q25, q50, q75 = row[c]
-        iqr = (q75 - q25) if q25 is not None else 0.0
-        out[c] = (q50 or 0.0, iqr if iqr else 1.0)
-    return out
+def column_quantiles(df: DataFrame, cols: list[str], qs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """``name`` and its exact, linearly interpolated quantiles ``q0, q1, …``.
+
+    Columns are stacked and ranked by ``group_rank``, so no column's values
+    meet in one task; a quantile lies between two ordinals."""
+    stacked = staged(df.select(F.monotonically_increasing_id().alias("_row"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_c"))
+        .select("_row", "_c.*"), "quantiles")
+    ranked = group_rank(stacked, "name", "_v", "_row", prefix="_q_")
+    place = [(F.col("_q_count") - 1) * q for q in qs]
+
+    def at(position):
+        return F.max(F.when(F.col("_q_ordinal") == position + 1, F.col("_v")))
+
+    found = ranked.groupBy("name").agg(
+        *[x for i, p in enumerate(place) for x in (at(F.floor(p)).alias(f"_lo{i}"), at(F.ceil(p)).alias(f"_hi{i}"))],
+        F.max("_q_count").alias("_n"))
+    part = [(F.col("_n") - 1) * q - F.floor((F.col("_n") - 1) * q) for q in qs]
+    return found.select("name", *[(F.col(f"_lo{i}") + w * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(f"q{i}")
+                                  for i, w in enumerate(part)])
+
+
+def robust_scaling(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``name, center, scale``: median and q75 − q25 of each column (scale 0 → 1)."""
+    spread = F.coalesce(F.col("q2") - F.col("q0"), F.lit(0.0))
+    return column_quantiles(df, cols).select(
+        "name", F.coalesce("q1", F.lit(0.0)).alias("center"), F.when(spread == 0, 1.0).otherwise(spread).alias("scale"))
+
+
+def fit_robust_scaler(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
+    """(center, scale) per column; one row per column reaches the driver."""
+    found = {r["name"]: (r["center"], r["scale"]) for r in robust_scaling(df, cols).collect()}
+    return {c: found.get(c, (0.0, 1.0)) for c in cols}
 
 
 def apply_robust_scaler(df: DataFrame, params: dict[str, tuple[float, float]], keep=("profileId",)) -> DataFrame:
@@ -180,50 +204,100 @@ def silhouette_sq(points: DataFrame, label: str = "cluster", vec: str = "feature
     a(x) uses n_C − 1 (x itself contributes 0); singleton clusters score 0."""
     st = cluster_stats(points, label, vec, dim).collect()     # k rows
     x = vector_to_array(F.col(vec)) if dict(points.dtypes)[vec] != "array<double>" else F.col(vec)
+    return (points.select(_silhouette_expr(x, F.col(label), st).alias("_s"))
+            .agg(F.avg("_s").alias("silhouette"), F.count(F.lit(1)).alias("points")))
+
+
+def _silhouette_expr(x, own, st):
+    """Squared-Euclidean silhouette of one point from the statistics of all clusters."""
     xx = F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v)
-    own = F.col(label)
     dists, owns = [], []
     for r in st:
         dot = F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in r["sum_y"]]), lambda a, b: a * b),
                           F.lit(0.0), lambda a, v: a + v)
-        total = F.lit(float(r["n"])) * xx - 2 * dot + F.lit(float(r["sum_sq"]))
+        # rounding can push a distance of 0 below it
+        total = F.greatest(F.lit(float(r["n"])) * xx - 2 * dot + F.lit(float(r["sum_sq"])), F.lit(0.0))
         is_own = own == F.lit(r["_c"])
         dists.append(F.when(~is_own, total / F.lit(float(r["n"]))))
         owns.append(F.when(is_own, F.when(F.lit(r["n"]) > 1, total / F.lit(float(r["n"] - 1)))))
-    a = F.coalesce(*owns)
+    a = F.coalesce(*owns) if len(owns) > 1 else owns[0]
     b = F.least(*dists) if len(dists) > 1 else dists[0]
-    s = F.when(a.isNull() | b.isNull(), 0.0).otherwise((b - a) / F.greatest(a, b))
-    return points.select(s.alias("_s")).agg(F.avg("_s").alias("silhouette"), F.count(F.lit(1)).alias("points"))
+    # points that coincide with everything score 0
+    return F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0))
+
+
+def _best(results):
+    """Highest score, the first of equal ones."""
+    return max(results, key=lambda r: r[1], default=None)
+
+
+def sweep(points: DataFrame, estimators: dict, vec: str = "features"):
+    """Fit every estimator and score its labels: (best name, best model, [(name, squared silhouette)]).
+
+    Labels of all fits are staged side by side; one job then gathers the
+    statistics of all clusterings and one scores them.  Fits that put all
+    points into one cluster are left out."""
+    points = points.persist()
+    models = {name: e.setFeaturesCol(vec).setPredictionCol(f"_c_{name}").fit(points) for name, e in estimators.items()}
+    labelled = points
+    for m in models.values():
+        labelled = m.transform(labelled)
+    labelled = staged(labelled.select(vector_to_array(F.col(vec)).alias("_y"), *[f"_c_{n}" for n in models]), "labels")
+    points.unpersist()
+    dim = len(labelled.first()["_y"])
+    stats = (labelled.select("_y", F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"_c_{n}").alias("_c"))
+                                                       for n in models])).alias("_m"))
+             .groupBy(F.col("_m.name").alias("name"), F.col("_m._c").alias("_c"))
+             .agg(F.count(F.lit(1)).alias("n"), F.array(*[F.sum(F.col("_y")[i]) for i in range(dim)]).alias("sum_y"),
+                  F.sum(F.aggregate("_y", F.lit(0.0), lambda a, x: a + x * x)).alias("sum_sq"))).collect()
+    by_name: dict = {}
+    for r in stats:
+        by_name.setdefault(r["name"], []).append(r)
+    scored = [n for n in models if len(by_name[n]) > 1]
+    if not scored:
+        return None, None, []
+    row = labelled.agg(*[F.avg(_silhouette_expr(F.col("_y"), F.col(f"_c_{n}"), by_name[n])).alias(n) for n in scored]).first()
+    results = [(n, float(row[n])) for n in scored]
+    name = _best(results)[0]
+    return name, models[name].setPredictionCol("cluster"), results
 
 
 def sweep_kmeans(points: DataFrame, ks, seed: int = 42, vec: str = "features"):
-    """Fit KMeans for each k, keep the best squared-Euclidean silhouette
-    (first wins ties).  Returns (best_k, model, [(k, silhouette)])."""
-    best = None
-    results = []
-    for k in ks:
-        model = KMeans(k=k, seed=seed, featuresCol=vec, predictionCol="cluster").fit(points)
-        pred = model.transform(points)
-        sil = silhouette_sq(pred, dim=len(model.clusterCenters()[0])).collect()[0]["silhouette"]
-        results.append((k, float(sil)))
-        if best is None or sil > best[1]:
-            best = (k, sil, model)
-    return best[0], best[2], results
+    """KMeans per k; returns (best k, model, [(k, squared silhouette)])."""
+    name, model, results = sweep(points, {str(k): KMeans(k=k, seed=seed) for k in ks}, vec)
+    return int(name), model, [(int(n), s) for n, s in results]
 
 
 def gmm_sweep(points: DataFrame, ks, seed: int = 42, vec: str = "features"):
     """GaussianMixture (full covariance) per k, best silhouette among fits with ≥ 2 labels."""
-    best, results = None, []
-    for k in ks:
-        model = GaussianMixture(k=k, seed=seed, featuresCol=vec, predictionCol="cluster").fit(points)
-        pred = model.transform(points)
-        if pred.select("cluster").distinct().limit(2).count() < 2:
-            continue
-        sil = silhouette_sq(pred).collect()[0]["silhouette"]
-        results.append((k, float(sil)))
-        if best is None or sil > best[1]:
-            best = (k, sil, model)
-    return (best[0], best[2], results) if best else (None, None, results)
+    name, model, results = sweep(points, {str(k): GaussianMixture(k=k, seed=seed) for k in ks}, vec)
+    return (int(name) if name else None), model, [(int(n), s) for n, s in results]
+
+
+def hierarchical_sweep(points: DataFrame, ks, seed: int = 42, vec: str = "features"):
+    """Divisive hierarchical clustering (bisecting k-means), the form of a
+    hierarchy that needs no pairwise distances, by Euclidean and by cosine distance.
+
+    Returns (best 'distance_k', model, [(name, squared silhouette)])."""
+    return sweep(points, {f"{d}_{k}": BisectingKMeans(k=k, seed=seed, distanceMeasure=d)
+                          for d in ("euclidean", "cosine") for k in ks}, vec)
+
+
+def alternative_methods(points: DataFrame, ks, seed: int = 42) -> list[tuple[str, str, float]]:
+    """(method, chosen setting, squared silhouette) of each family of clusterings."""
+    out = []
+    for method, fit in (("kmeans", sweep_kmeans), ("gmm", gmm_sweep), ("hierarchical", hierarchical_sweep)):
+        name, _, results = fit(points, ks, seed)
+        if name is not None:
+            out.append((method, str(name), _best(results)[1]))
+    return out
+
+
+def ordered_labels(cents: DataFrame, label: str = "cluster") -> DataFrame:
+    """Centroids renumbered from 0 by size (largest first), then by centroid, so that
+    labels do not depend on where a fit started.  One row per cluster."""
+    place = F.row_number().over(Window.orderBy(F.desc("n"), "centroid")) - 1
+    return cents.withColumn(label, place)
 
 
 # ------------------------------------------------------------------ reports

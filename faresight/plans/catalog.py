@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faresight.operators.group_rank import group_rank
+from faresight.operators.iforest import remove_outliers
 from faresight.operators.metrics import hit_rate_at_k
+from faresight.session import checkpoint_dir
+from faresight.sources.artefacts import Segmentation
 from faresight.sources.binding import candidates
 from faresight.sources.store import staged
 
@@ -28,7 +31,7 @@ def register(name: str):
 
 
 def r6(c):
-    return F.round(c.cast("double"), 6)
+    return F.round((F.col(c) if isinstance(c, str) else c).cast("double"), 6)
 
 
 @register("candidates")
@@ -133,16 +136,23 @@ def q_profile_sessions_per_customer(spark, sf_dir):
     return P.sessions_per_customer(candidates(spark, sf_dir))
 
 
-@register("profile_session_size_describe")
-def q_profile_session_size_describe(spark, sf_dir):
-    d = P.describe_counts(P.counts_by(candidates(spark, sf_dir), ["ranker_id"]), "flights")
-    return d.select(*[r6(F.col(c)).alias(c) if c not in ("count", "null_count", "outliers") else F.col(c)
-                      for c in d.columns])
+#: Count columns that are described: rows per session, customer, and customer and session.
+COUNTED = {"session": ["ranker_id"], "customer": ["profileId"], "customer_session": ["profileId", "ranker_id"]}
 
 
-@register("profile_session_size_histogram")
-def q_profile_session_size_histogram(spark, sf_dir):
-    return P.histogram(P.counts_by(candidates(spark, sf_dir), ["ranker_id"]), "flights", 50)
+def _register_counts(name: str, keys: list[str]):
+    @register(f"profile_{name}_size_describe")
+    def describe(spark, sf_dir):
+        d = P.describe_counts(P.counts_by(candidates(spark, sf_dir), keys), "flights")
+        return d.select(*[r6(c).alias(c) if c not in ("count", "null_count", "outliers") else F.col(c) for c in d.columns])
+
+    @register(f"profile_{name}_size_histogram")
+    def histogram(spark, sf_dir):
+        return P.histogram(staged(P.counts_by(candidates(spark, sf_dir), keys), "counts"), "flights", 50)
+
+
+for _name, _keys in COUNTED.items():
+    _register_counts(_name, _keys)
 
 
 @register("profile_missing_values")
@@ -260,29 +270,39 @@ def _cust(spark, sf_dir):
     return customer_features(candidates(spark, sf_dir))
 
 
+OUTLIER_SHARE = 0.05
+
+
 def reduced_customers(cust: DataFrame, variance: float = 0.95):
     """encode → robust scale → PCA (J2–J6); returns (profileId, features) and the fitted parts."""
-    # every fitting step re-reads its input: cut lineage in the shared checkpoint folder
-    from faresight.session import checkpoint_dir
-    checkpoint_dir(cust.sparkSession)
-    cust = cust.checkpoint()
+    cust = staged(cust, "customers")  # every fitting step reads its input again
     enc = SG.fit_encoders(cust)
-    x = SG.apply_encoders(cust, enc)
+    x = staged(SG.apply_encoders(cust, enc), "encoded")
     cols = [f.name for f in x.schema.fields if f.name != "profileId" and f.dataType.typeName() != "string"]
     params = SG.fit_robust_scaler(x, cols)
-    scaled = SG.apply_robust_scaler(x, params).checkpoint()
+    scaled = staged(SG.apply_robust_scaler(x, params), "scaled")
     pca = SG.fit_pca(scaled, cols, variance)
-    reduced = SG.apply_pca(scaled, pca)
-    return reduced.checkpoint(), (enc, params, pca)
+    checkpoint_dir(cust.sparkSession)
+    return SG.apply_pca(scaled, pca).checkpoint(), (enc, params, pca)
+
+
+def fit_segmentation(cust: DataFrame, ks=None, seed: int = 42, contamination: float = OUTLIER_SHARE):
+    """Remove outliers, encode, scale, reduce, sweep, centroids.
+
+    Returns (inlier customers, their reduced features, fitted ``Segmentation``)."""
+    cleaned, _ = remove_outliers(staged(cust, "customers"), contamination)
+    cleaned = staged(cleaned, "inliers")
+    reduced, (enc, params, pca) = reduced_customers(cleaned)
+    _, model, _ = SG.sweep_kmeans(reduced, ks or SWEEP_KS, seed)
+    cents = staged(SG.ordered_labels(SG.centroids(model.transform(reduced), "cluster")), "centroids")
+    return cleaned, reduced, Segmentation(enc, params, pca, cents)
 
 
 def segment_customers(cust: DataFrame, ks=None, seed: int = 42) -> DataFrame:
-    """Segments per customer: (profileId, customer_segment, min_distance)."""
-    reduced, _ = reduced_customers(cust)
-    k, model, _ = SG.sweep_kmeans(reduced, ks or SWEEP_KS, seed)
-    pred = model.transform(reduced)
-    cents = SG.centroids(pred, "cluster")
-    return SG.nearest_centroid(reduced, cents, "cluster").select("profileId", "customer_segment", "min_distance")
+    """Segments of the customers that are no outliers: (profileId, customer_segment, min_distance)."""
+    _, reduced, fitted = fit_segmentation(cust, ks, seed)
+    out = SG.nearest_centroid(reduced, fitted.centroids, "cluster")
+    return staged(out.select("profileId", "customer_segment", "min_distance"), "segments")
 
 
 @register("customer_segments")
@@ -294,14 +314,14 @@ def q_customer_segments(spark, sf_dir):
 @register("segment_profiles")
 def q_segment_profiles(spark, sf_dir):
     """Feature means and size per segment."""
-    cust = _cust(spark, sf_dir)
+    cust = staged(_cust(spark, sf_dir), "customers")
     return SG.analyze_clusters(cust, segment_customers(cust))
 
 
 @register("segment_session_stats")
 def q_segment_session_stats(spark, sf_dir):
     """Rows, sessions and session sizes per segment (two-level aggregate)."""
-    cand = candidates(spark, sf_dir)
+    cand = staged(candidates(spark, sf_dir), "candidates")
     from faresight.operators.customers import customer_features
     seg = segment_customers(customer_features(cand))
     return P.segment_session_stats(cand.join(seg.select("profileId", "customer_segment"), "profileId"))
@@ -317,7 +337,7 @@ def q_programme_top_tokens(spark, sf_dir):
 @register("customer_encoding")
 def q_customer_encoding(spark, sf_dir):
     """J2–J4 apply: frequency encodings, programme count and top-programme hits per customer."""
-    cust = _cust(spark, sf_dir)
+    cust = staged(_cust(spark, sf_dir), "customers")
     enc = SG.fit_encoders(cust)
     x = SG.apply_encoders(cust, enc)
     ff = [c for c in x.columns if c.startswith("ff_") and c != "ff_program_count"]
@@ -357,7 +377,8 @@ def q_embedding_silhouette(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- ranking
-RANK_ROUNDS = 8
+#: Short of the library's default (1000 rounds, 255 bins): a registered query must end in minutes.
+RANK_ROUNDS, RANK_BINS = 8, 64
 
 
 def ranking_experiment(spark, sf_dir, rounds: int = RANK_ROUNDS, history: str = "train", ks=None):
@@ -367,27 +388,24 @@ def ranking_experiment(spark, sf_dir, rounds: int = RANK_ROUNDS, history: str =
     ``history='train'`` builds test customers' features from their train-side
     searches (no label leakage; test options of customers unseen in train drop
     out of the inner join); ``'test'`` reproduces the reference, which builds
-    them from the test rows themselves.  Returns the scored test frame."""
+    them from the test rows themselves.  Outlier customers are removed before
+    anything is fitted, and their options drop out.  Returns the scored test frame."""
     from faresight.operators import lambdamart as LM
     from faresight.operators.combine import combine
     from faresight.operators.customers import customer_features
     from faresight.operators.options import option_features
     from faresight.operators.split import stratified_split
-    from faresight.session import checkpoint_dir
     checkpoint_dir(spark)
-    cand = candidates(spark, sf_dir).checkpoint()
-    train, test = stratified_split(cand)
-    cust_train = customer_features(train).checkpoint()
-    reduced, (enc, params, pca) = reduced_customers(cust_train)
-    k, km, _ = SG.sweep_kmeans(reduced, ks or SWEEP_KS)
-    cents = SG.centroids(km.transform(reduced), "cluster")
-    seg_train = SG.nearest_centroid(reduced, cents, "cluster").select("profileId", "customer_segment")
-    cust_test = cust_train if history == "train" else customer_features(test).checkpoint()
-    red_test = SG.apply_pca(SG.apply_robust_scaler(SG.apply_encoders(cust_test, enc), params), pca)
-    seg_test = SG.nearest_centroid(red_test, cents, "cluster").select("profileId", "customer_segment")
+    cand = staged(candidates(spark, sf_dir), "candidates")
+    train, test = (staged(side, "split") for side in stratified_split(cand))
+    cust_all = staged(customer_features(train), "customers")
+    cust_train, reduced, fitted = fit_segmentation(cust_all, ks)
+    seg_train = SG.nearest_centroid(reduced, fitted.centroids, "cluster").select("profileId", "customer_segment")
+    cust_test = cust_train if history == "train" else staged(customer_features(test), "customers")
+    seg_test = fitted.assign(cust_test).select("profileId", "customer_segment")
     comb_train = combine(option_features(train), cust_train.join(seg_train, "profileId")).checkpoint()
     comb_test = combine(option_features(test), cust_test.join(seg_test, "profileId")).checkpoint()
-    models = LM.train_segment_rankers(comb_train, rounds=rounds)
+    models = LM.train_segment_rankers(comb_train, rounds=rounds, max_bins=RANK_BINS)
     seg_scored = LM.score_by_segment(models, comb_test, out="y_pred")
     gen_scored = models[99].score(comb_test, out="y_general").select("Id", "y_general")
     return seg_scored.join(gen_scored, "Id")
@@ -395,35 +413,52 @@ def ranking_experiment(spark, sf_dir, rounds: int = RANK_ROUNDS, history: str =
 
 @register("ranker_segment_comparison")
 def q_ranker_segment_comparison(spark, sf_dir):
-    """HitRate@3 on the test split per segment for the segment model
-    and the general model, plus the price-rank and random baselines (sessions ≥ 1)."""
-    scored = ranking_experiment(spark, sf_dir).checkpoint()
-    seg = M.hit_rate_at_k(scored, k=3, score="y_pred", by=["customer_segment"]).select(
-        "customer_segment", F.lit("segment_model").alias("model"), "sessions", "hits", "hit_rate")
-    gen = M.hit_rate_at_k(scored, k=3, score="y_general", by=["customer_segment"]).select(
-        "customer_segment", F.lit("general_model").alias("model"), "sessions", "hits", "hit_rate")
-    allseg = M.hit_rate_at_k(scored, k=3, score="y_general").select(
-        F.lit(99).alias("customer_segment"), F.lit("general_model").alias("model"), "sessions", "hits", "hit_rate")
-    price = M.hit_rate_at_k(scored.withColumn("_neg_price", -F.col("price_rank_pct")), k=3, score="_neg_price").select(
-        F.lit(99).alias("customer_segment"), F.lit("price_rank").alias("model"), "sessions", "hits", "hit_rate")
-    return seg.unionByName(gen).unionByName(allseg).unionByName(price)
+    """HitRate@3 on the test split, sessions with at least 10 options: per
+    segment the segment's model, the general model, price order and a random order."""
+    scored = staged(ranking_experiment(spark, sf_dir).withColumn("y_price", -F.col("price_rank_pct")), "ranked")
+    return segment_comparison(scored, {"segment_model": "y_pred", "general_model": "y_general", "price_rank": "y_price"})
+
+
+def segment_comparison(scored: DataFrame, models: dict[str, str], segment: str = "customer_segment",
+                       k: int = 3, min_size: int = 10) -> DataFrame:
+    """(segment, model, sessions, hits, hit_rate) of every model per segment and
+    overall (segment 99), with the expected rate of a random order."""
+    everything = scored.withColumn(segment, F.lit(99))
+    out = None
+    for frame in (scored, everything):
+        for model, score in models.items():
+            part = M.hit_rate_at_k(frame, k=k, score=score, by=[segment], min_size=min_size).select(
+                F.col(segment).cast("long").alias(segment), F.lit(model).alias("model"), "sessions",
+                F.col("hits").cast("double").alias("hits"), "hit_rate")
+            out = part if out is None else out.unionByName(part)
+        sizes = frame.groupBy("ranker_id").agg(F.min(segment).alias(segment), F.count(F.lit(1)).alias("n")).filter(
+            F.col("n") >= min_size)
+        chance = F.least(F.lit(float(k)) / F.col("n"), F.lit(1.0))
+        out = out.unionByName(sizes.groupBy(segment).agg(
+            F.count(F.lit(1)).alias("sessions"), F.sum(chance).alias("hits"), F.avg(chance).alias("hit_rate")).select(
+            F.col(segment).cast("long").alias(segment), F.lit("random").alias("model"), "sessions", "hits", "hit_rate"))
+    return out
+
+
+@register("segment_comparison_price")
+def q_segment_comparison_price(spark, sf_dir):
+    """K11 with a deterministic scorer and grouping: price order by VIP flag, sessions with ≥ 4 options."""
+    scored = price_rank_scored(spark, sf_dir, [F.col("isVip").cast("int").alias("is_vip")])
+    out = segment_comparison(scored, {"price_rank": "y_pred"}, "is_vip", min_size=4)
+    return out.select("is_vip", "model", "sessions", r6("hits").alias("hits"), r6("hit_rate").alias("hit_rate"))
 
 
 @register("customer_outliers")
 def q_customer_outliers(spark, sf_dir):
     """Isolation-forest anomaly score and the 5 % outlier flag per customer."""
-    from faresight.operators.iforest import remove_outliers
-    from faresight.session import checkpoint_dir
-    checkpoint_dir(spark)
-    cust = _cust(spark, sf_dir).checkpoint()
-    _, flagged = remove_outliers(cust, contamination=0.05)
+    _, flagged = remove_outliers(staged(_cust(spark, sf_dir), "customers"), OUTLIER_SHARE)
     return flagged
 
 
 @register("segment_statistics")
 def q_segment_statistics(spark, sf_dir):
     """J17 on the clustering segments."""
-    cust = _cust(spark, sf_dir)
+    cust = staged(_cust(spark, sf_dir), "customers")
     return SG.segment_statistics(cust.join(segment_customers(cust).select("profileId", "customer_segment"), "profileId"))
 
 
@@ -433,3 +468,80 @@ def q_segment_statistics_by_tier(spark, sf_dir):
     s = SG.segment_statistics(_cust(spark, sf_dir), "customer_tier")
     return s.select(*[r6(F.col(x)).alias(x) if t == "double" else F.col(x).cast("long").alias(x)
                       for x, t in s.dtypes])
+
+
+# ---------------------------------------------------------------- the same reports on a given grouping
+def _with_tier(spark, sf_dir):
+    cand = staged(candidates(spark, sf_dir), "candidates")
+    tier = staged(_cust_of(cand).select("profileId", "customer_tier"), "tiers")
+    return cand.join(tier, "profileId")
+
+
+def _cust_of(cand):
+    from faresight.operators.customers import customer_features
+    return customer_features(cand)
+
+
+@register("rows_per_tier")
+def q_rows_per_tier(spark, sf_dir):
+    """C20 grouped by the customer_tier feature."""
+    return P.rows_per_segment(_with_tier(spark, sf_dir), "customer_tier").withColumn(
+        "customer_tier", F.col("customer_tier").cast("long"))
+
+
+@register("session_stats_by_tier")
+def q_session_stats_by_tier(spark, sf_dir):
+    """C21 / C22 grouped by the customer_tier feature."""
+    s = P.segment_session_stats(_with_tier(spark, sf_dir), "customer_tier")
+    return s.select(F.col("customer_tier").cast("long").alias("customer_tier"), "sessions", "options", "min_options",
+                    "max_options", r6("avg_options").alias("avg_options"), "customers")
+
+
+@register("cluster_profiles_by_tier")
+def q_cluster_profiles_by_tier(spark, sf_dir):
+    """J16 grouped by the customer_tier feature."""
+    cust = staged(_cust(spark, sf_dir), "customers")
+    means = [a for _, a in SG.PROFILE_MEANS]
+    out = SG.analyze_clusters(cust.drop("customer_tier"), cust.select("profileId", "customer_tier"), "customer_tier")
+    return out.select(F.col("customer_tier").cast("long").alias("customer_tier"), *[r6(m).alias(m) for m in means], "size")
+
+
+@register("embedding_label_distribution")
+def q_embedding_label_distribution(spark, sf_dir):
+    """J18 / G15 on the given labels."""
+    return SG.label_distribution(_embeddings(spark, sf_dir), "label")
+
+
+@register("price_flight_rank")
+def q_price_flight_rank(spark, sf_dir):
+    """Every option's place in its session by the price scorer."""
+    out = M.rank_by_score(price_rank_scored(spark, sf_dir))
+    return out.select("Id", "ranker_id", F.col("flight_rank").cast("long").alias("flight_rank"))
+
+
+@register("customer_programme_flags")
+def q_customer_programme_flags(spark, sf_dir):
+    """J2 apply, flag by flag: (profileId, token, flag) for the ten most frequent programme tokens."""
+    cust = staged(_cust(spark, sf_dir), "customers")
+    top = SG.fit_encoders(cust).top_programmes
+    flags = [F.struct(F.lit(t).alias("token"), F.coalesce(f, F.lit(0)).cast("long").alias("flag"))
+             for t, f in zip(top, SG.programme_flags(cust, top), strict=True)]
+    return cust.select("profileId", F.explode(F.array(*flags)).alias("f")).select("profileId", "f.*")
+
+
+@register("customer_scaling")
+def q_customer_scaling(spark, sf_dir):
+    """J5 fit: exact centre and scale of every numeric customer feature."""
+    from faresight.plans.oracle_customers import CUSTOMER_FEATURE_KINDS
+    cols = [c for c, kind in CUSTOMER_FEATURE_KINDS.items() if kind != "s"]
+    out = SG.robust_scaling(finalize(_cust(spark, sf_dir), CUSTOMER_FEATURE_KINDS, ["profileId"]), cols)
+    return out.select("name", r6("center").alias("center"), r6("scale").alias("scale"))
+
+
+@register("clustering_methods")
+def q_clustering_methods(spark, sf_dir):
+    """Best squared silhouette of k-means, Gaussian mixtures and a divisive hierarchy."""
+    cleaned, _ = remove_outliers(staged(_cust(spark, sf_dir), "customers"), OUTLIER_SHARE)
+    reduced, _ = reduced_customers(cleaned)
+    rows = SG.alternative_methods(reduced, [4, 8, 12])
+    return spark.createDataFrame(rows, "method string, setting string, silhouette_sq double")

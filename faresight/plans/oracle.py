@@ -70,11 +70,54 @@ ORACLE["customer_encoding"] = with_candidates(
     (SELECT count(*) FROM top WHERE list_contains(string_split(frequent_flyer, '/'), top.token)) ELSE 0 END AS BIGINT) AS ff_top_hits
 FROM cust LEFT JOIN fa ON cust.most_common_departure_airport = fa.v LEFT JOIN fc ON cust.most_common_carrier = fc.v""")
 
-from faresight.operators.segment import SEGMENT_MEANS  # noqa: E402
+# feature and report name, written out here so that the report's own list is checked too
+SEGMENT_MEANS = """total_flights_searched avg_flights_searched, total_search_sessions avg_search_sessions,
+avg_searches_per_session avg_searches_per_session, unique_routes_searched avg_unique_routes, avg_booking_lead_days avg_lead_days,
+median_booking_lead_days avg_median_lead_days, roundtrip_preference avg_roundtrip_pref, weekend_travel_rate avg_weekend_travel,
+avg_cabin_class avg_cabin_class, route_loyalty avg_route_loyalty, carrier_diversity avg_carrier_diversity,
+loyalty_program_utilization avg_loyalty_utilization, avg_price_per_minute avg_price_per_min,
+price_per_minute_variance avg_price_variance, price_position_preference avg_price_position_pref"""
+PROFILE_MEANS = """total_flights_searched avg_flights_searched, is_vip vip_rate, roundtrip_preference roundtrip_rate,
+avg_booking_lead_days avg_lead_days, unique_carriers_used avg_carriers, avg_cabin_class avg_cabin_class,
+loyalty_program_utilization avg_loyalty_utilization, price_position_preference avg_price_position_preference,
+preferred_price_tier avg_preferred_price_tier, connection_tolerance avg_connection_tolerance,
+weekend_travel_rate avg_weekend_travel_rate, night_flight_preference avg_night_flight_preference"""
+
+
+def _means(pairs: str) -> str:
+    return ", ".join("round(avg({}), 6) AS {}".format(*p.split()) for p in pairs.split(","))
+
 
 ORACLE["segment_statistics_by_tier"] = with_candidates(*_cc(rounded=False), final=(
     "SELECT customer_tier, count(profileId) AS customer_count, round(avg(sex) * 100, 6) AS pct_male, "
     "round(avg(is_vip) * 100, 6) AS pct_vip, round(avg(has_corp_codes) * 100, 6) AS pct_corporate, "
-    + ", ".join(f"round(avg({x}), 6) AS {a}" for x, a in SEGMENT_MEANS)
+    + _means(SEGMENT_MEANS)
     + ", CAST(sum(is_vip) AS BIGINT) AS vip_count, CAST(sum(has_corp_codes) AS BIGINT) AS corp_count "
     "FROM cust GROUP BY customer_tier"))
+ORACLE["cluster_profiles_by_tier"] = with_candidates(*_cc(rounded=False), final=(
+    "SELECT CAST(customer_tier AS BIGINT) AS customer_tier, " + _means(PROFILE_MEANS)
+    + ", count(*) AS size FROM cust GROUP BY customer_tier"))
+ORACLE["rows_per_tier"] = with_candidates(*_cc(), final="""SELECT CAST(customer_tier AS BIGINT) AS customer_tier, count(*) AS "rows"
+FROM candidates JOIN cust USING (profileId) GROUP BY customer_tier""")
+ORACLE["session_stats_by_tier"] = with_candidates(
+    *_cc(), ("j", "SELECT customer_tier, profileId, ranker_id FROM candidates JOIN cust USING (profileId)"),
+    ("per", "SELECT customer_tier, ranker_id, count(*) AS n FROM j GROUP BY ALL"),
+    ("who", "SELECT customer_tier, count(DISTINCT profileId) AS customers FROM j GROUP BY customer_tier"),
+    final="""SELECT CAST(customer_tier AS BIGINT) AS customer_tier, count(*) AS sessions, CAST(sum(n) AS BIGINT) AS options,
+  min(n) AS min_options, max(n) AS max_options, round(avg(n), 6) AS avg_options, any_value(customers) AS customers
+FROM per JOIN who USING (customer_tier) GROUP BY customer_tier""")
+ORACLE["embedding_label_distribution"] = "SELECT label, count(*) AS customers FROM embeddings GROUP BY label"
+ORACLE["customer_programme_flags"] = with_candidates(
+    *_cc(),
+    ("top", """SELECT token FROM (SELECT unnest(string_split(frequent_flyer, '/')) AS token FROM cust
+  WHERE frequent_flyer IS NOT NULL AND frequent_flyer <> '') t GROUP BY token ORDER BY count(*) DESC, token LIMIT 10"""),
+    final="""SELECT profileId, token, CAST(coalesce(list_contains(string_split(frequent_flyer, '/'), token), FALSE) AS BIGINT) AS flag
+FROM cust, top""")
+
+from faresight.plans.oracle_customers import CUSTOMER_FEATURE_KINDS  # noqa: E402
+
+ORACLE["customer_scaling"] = with_candidates(
+    *_cc(), ("q", "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS name, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS a, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m, "
+        f"quantile_cont(CAST({c} AS DOUBLE), 0.75) AS b FROM cust" for c, kind in CUSTOMER_FEATURE_KINDS.items() if kind != "s")),
+    final="SELECT name, round(m, 6) AS center, round(CASE WHEN b - a = 0 THEN 1.0 ELSE b - a END, 6) AS scale FROM q")

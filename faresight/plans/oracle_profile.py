@@ -89,20 +89,22 @@ def profile_oracles() -> dict[str, str]:
         final="SELECT profileId, ranker_id, count(*) AS flights FROM candidates GROUP BY profileId, ranker_id")
     o["profile_sessions_per_customer"] = with_candidates(
         final="SELECT profileId, count(DISTINCT ranker_id) AS sessions FROM candidates GROUP BY profileId")
-    cnt = ("cnt", "SELECT ranker_id, CAST(count(*) AS DOUBLE) AS v FROM candidates GROUP BY ranker_id")
-    o["profile_session_size_describe"] = with_candidates(
-        cnt,
-        ("st", """SELECT count(v) AS "count", CAST(count(*) FILTER (WHERE v IS NULL) AS BIGINT) AS null_count,
-  avg(v) AS mean, stddev_samp(v) AS std, min(v) AS "min", quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.5) AS median,
-  quantile_cont(v, 0.75) AS q75, max(v) AS "max" FROM cnt"""),
-        ("st2", "SELECT *, q25 - 1.5*(q75 - q25) AS lower_fence, q75 + 1.5*(q75 - q25) AS upper_fence FROM st"),
-        final="""SELECT "count", null_count, round(mean, 6) AS mean, round(std, 6) AS std, round("min", 6) AS "min",
-  round(q25, 6) AS q25, round(median, 6) AS median, round(q75, 6) AS q75, round("max", 6) AS "max",
-  round(lower_fence, 6) AS lower_fence, round(upper_fence, 6) AS upper_fence,
-  (SELECT CAST(count(*) AS BIGINT) FROM cnt, st2 WHERE v < lower_fence OR v > upper_fence) AS outliers FROM st2""")
-    o["profile_session_size_histogram"] = with_candidates(
-        cnt, ("rng", "SELECT min(v) AS lo, max(v) AS hi FROM cnt"),
-        final="""SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((v - lo) / ((hi - lo) / 50)), 49) END AS INTEGER) AS bin,
+    for name, keys in (("session", "ranker_id"), ("customer", "profileId"), ("customer_session", "profileId, ranker_id")):
+        cnt = ("cnt", f"SELECT {keys}, CAST(count(*) AS DOUBLE) AS v FROM candidates GROUP BY {keys}")
+        o[f"profile_{name}_size_describe"] = with_candidates(
+            cnt, ("srt", "SELECT list(v ORDER BY v) AS s, count(*) AS n FROM cnt"),
+            ("st", """SELECT count(v) AS "count", CAST(count(*) FILTER (WHERE v IS NULL) AS BIGINT) AS null_count,
+  avg(v) AS mean, stddev_samp(v) AS std, min(v) AS "min", max(v) AS "max",
+  quantile_cont(v, 0.25) AS box_q25, quantile_cont(v, 0.75) AS box_q75 FROM cnt"""),
+            ("st2", "SELECT *, box_q25 - 1.5*(box_q75 - box_q25) AS lower_fence, box_q75 + 1.5*(box_q75 - box_q25) AS upper_fence FROM st"),
+            final="""SELECT "count", null_count, round(mean, 6) AS mean, round(std, 6) AS std, round("min", 6) AS "min",
+  s[CAST(round((n - 1) * 0.25) AS INTEGER) + 1] AS q25, s[CAST(round((n - 1) * 0.5) AS INTEGER) + 1] AS median,
+  s[CAST(round((n - 1) * 0.75) AS INTEGER) + 1] AS q75, round("max", 6) AS "max", round(box_q25, 6) AS box_q25,
+  round(box_q75, 6) AS box_q75, round(lower_fence, 6) AS lower_fence, round(upper_fence, 6) AS upper_fence,
+  (SELECT CAST(count(*) AS BIGINT) FROM cnt, st2 WHERE v < lower_fence OR v > upper_fence) AS outliers FROM st2, srt""")
+        o[f"profile_{name}_size_histogram"] = with_candidates(
+            cnt, ("rng", "SELECT min(v) AS lo, max(v) AS hi FROM cnt"),
+            final="""SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((v - lo) / ((hi - lo) / 50)), 49) END AS INTEGER) AS bin,
   count(*) AS n, min(v) AS bin_min, max(v) AS bin_max FROM cnt, rng GROUP BY 1""")
     m0, m1 = _missing_cte()
     o["profile_missing_values"] = with_candidates(m0, m1, final="SELECT * FROM miss")
@@ -144,6 +146,18 @@ FROM pr GROUP BY ranker_id""")
          CASE least(sum(selected), 3) WHEN 1 THEN 1.0 WHEN 2 THEN 1.0 + 1.0/log2(3.0)
               ELSE 1.0 + 1.0/log2(3.0) + 1.0/log2(4.0) END AS idcg
   FROM pr GROUP BY ranker_id) t WHERE pos > 0""")
+    o["price_flight_rank"] = with_candidates(_price_rank(), final="""SELECT Id, ranker_id,
+  row_number() OVER (PARTITION BY ranker_id ORDER BY y_pred DESC, Id) AS flight_rank FROM pr""")
+    o["segment_comparison_price"] = with_candidates(
+        _price_rank(),
+        ("vs", """SELECT pr.ranker_id, min(CAST(isVip AS INTEGER)) AS vip, count(*) AS n,
+  max(CASE WHEN pr.selected = 1 AND rk <= 3 THEN 1 ELSE 0 END) AS hit
+FROM pr JOIN candidates c ON pr.Id = c.Id GROUP BY pr.ranker_id HAVING count(*) >= 4"""),
+        ("g", "SELECT CAST(vip AS BIGINT) AS is_vip, n, hit FROM vs UNION ALL SELECT 99 AS is_vip, n, hit FROM vs"),
+        final="""SELECT is_vip, 'price_rank' AS model, count(*) AS sessions, round(CAST(sum(hit) AS DOUBLE), 6) AS hits,
+  round(avg(hit), 6) AS hit_rate FROM g GROUP BY is_vip
+UNION ALL SELECT is_vip, 'random' AS model, count(*) AS sessions, round(sum(least(3.0::DOUBLE / n, 1.0)), 6) AS hits,
+  round(avg(least(3.0::DOUBLE / n, 1.0)), 6) AS hit_rate FROM g GROUP BY is_vip""")
     o["random_baseline"] = with_candidates(final="""SELECT 3 AS k, count(*) AS sessions, round(avg(least(3.0 / n, 1.0)), 6) AS random_hit_rate
 FROM (SELECT ranker_id, count(*) AS n FROM candidates GROUP BY ranker_id) t""")
     o["price_rank_hit_rate_by_vip"] = with_candidates(
