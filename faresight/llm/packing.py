@@ -75,24 +75,38 @@ class Turns:
             short += np.where(before, self.short[q], 0)
         return turn * self.quantum - short
 
-    def pieces(self, queue: int, start: int, length: int, window: int) -> list[tuple[int, int, int]]:
-        """(start in the span, length, global position) of a span of ``queue``, cut at windows."""
-        first, last = start // self.quantum, (start + length - 1) // self.quantum
-        j = np.arange(first, last + 1, dtype=np.int64)
-        at = self.position(queue, j)
-        out: list[tuple[int, int, int]] = []
-        for q, p in zip(j.tolist(), at.tolist(), strict=True):
-            a, b = max(start, q * self.quantum), min(start + length, (q + 1) * self.quantum)
-            pos = p + a - q * self.quantum
-            while a < b:
-                n = min(b - a, window - pos % window)
-                if out and out[-1][2] + out[-1][1] == pos and pos % window:
-                    s, m, g = out[-1]
-                    out[-1] = (s, m + n, g)
-                else:
-                    out.append((a - start, n, pos))
-                a, pos = a + n, pos + n
-        return out
+    def pieces(self, queue: np.ndarray, start: np.ndarray, length: np.ndarray,
+               window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(span, start in the span, length, global position) of spans, cut at windows.
+
+        Span i holds ids ``start[i]`` to ``start[i] + length[i]`` (at least one) of its queue.
+        Pieces come span by span, each in order; neighbours in one window are joined.
+        """
+        q = self.quantum
+        first, last = start // q, (start + length - 1) // q
+        counts = last - first + 1
+        span = np.repeat(np.arange(len(start)), counts)
+        j = first[span] + np.arange(len(span)) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = np.empty(len(span), dtype=np.int64)
+        for one in np.unique(queue):
+            mine = queue[span] == one
+            at[mine] = self.position(int(one), j[mine])
+        a = np.maximum(start[span], j * q)
+        n = np.minimum((start + length)[span], (j + 1) * q) - a
+        pos, a = at + a - j * q, a - start[span]
+        done = []
+        while len(n):
+            fit = np.minimum(n, window - pos % window)
+            done.append((span, a, fit, pos))
+            more = n > fit
+            span, a, n, pos = span[more], (a + fit)[more], (n - fit)[more], (pos + fit)[more]
+        span, a, n, pos = (np.concatenate(c) for c in zip(*done, strict=True))
+        order = np.lexsort((a, span))
+        span, a, n, pos = span[order], a[order], n[order], pos[order]
+        new = np.ones(len(span), dtype=bool)
+        new[1:] = (span[1:] != span[:-1]) | (pos[1:] != pos[:-1] + n[:-1]) | (pos[1:] % window == 0)
+        heads = np.nonzero(new)[0]
+        return span[heads], a[heads], np.add.reduceat(n, heads), pos[heads]
 
 
 def _encode(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) -> Iterator[pa.RecordBatch]:
@@ -124,19 +138,26 @@ def _encode(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) ->
 
 
 def _cut(batches: Iterator[pa.RecordBatch], sources: dict, turns: Turns, window: int, id_type: str) -> Iterator[pa.RecordBatch]:
-    names = ("doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
-    kinds = (pa.int64(), pa.string(), *[pa.int64()] * 6)
+    size = np.dtype(id_type).itemsize
     for batch in batches:
-        rows: list[tuple] = []
-        cols = [batch.column(batch.schema.get_field_index(c)) for c in
-                ("doc_id", "source", "source_null", "start_in_part", "base", "doc_tokens", "ids")]
-        for doc_id, source, null, start, base, n, raw in zip(*[c.to_pylist() for c in cols], strict=True):
-            source = None if null else source
-            ids = np.frombuffer(raw, dtype=id_type).astype("<u4")
-            for s, m, g in turns.pieces(sources[source], base + start, n, window):
-                rows.append((doc_id, source, s, m, zlib.crc32(ids[s:s + m]), n, g // window, g % window))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+        if not batch.num_rows:
+            continue
+        cols = {c: batch.column(batch.schema.get_field_index(c)) for c in
+                ("doc_id", "source", "source_null", "start_in_part", "base", "doc_tokens", "ids")}
+        names = [None if null else s for s, null in
+                 zip(cols["source"].to_pylist(), cols["source_null"].to_pylist(), strict=True)]
+        tokens_of = cols["doc_tokens"].to_numpy()
+        start = cols["base"].to_numpy() + cols["start_in_part"].to_numpy()
+        span, a, n, pos = turns.pieces(np.array([sources[s] for s in names]), start, tokens_of, window)
+        raw = np.frombuffer(b"".join(cols["ids"].to_pylist()), dtype=f"<u{size}").astype("<u4")
+        view = memoryview(raw).cast("B")
+        begin = (np.cumsum(tokens_of) - tokens_of)[span] + a
+        crc = [zlib.crc32(view[x:y]) for x, y in zip((begin * 4).tolist(), ((begin + n) * 4).tolist(), strict=True)]
+        pick = pa.array(span)
+        yield pa.RecordBatch.from_arrays(
+            [cols["doc_id"].take(pick), pa.array(names, pa.string()).take(pick), pa.array(a), pa.array(n),
+             pa.array(crc, pa.int64()), cols["doc_tokens"].take(pick), pa.array(pos // window), pa.array(pos % window)],
+            ["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", source_col: str = "source",
