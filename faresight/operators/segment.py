@@ -238,6 +238,9 @@ def sweep(points: DataFrame, estimators: dict, vec: str = "features"):
     statistics of all clusterings and one scores them.  Fits that put all
     points into one cluster are left out."""
     points = points.persist()
+    for name, e in estimators.items():
+        if isinstance(e, GaussianMixture):
+            e.setProbabilityCol(f"_p_{name}")
     models = {name: e.setFeaturesCol(vec).setPredictionCol(f"_c_{name}").fit(points) for name, e in estimators.items()}
     labelled = points
     for m in models.values():
