@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from faresight.functions.scalar import col_or_name
 
-__all__ = ["first_non_null", "guarded_corr", "mode_of"]
+__all__ = ["first_non_null", "guarded_corr"]
 
 
 def first_non_null(c, order_key="Id") -> Column:
@@ -32,12 +32,3 @@ def guarded_corr(x, y) -> Column:
             .when((sx == 0) | (sy == 0), F.lit(float("nan")))
             .otherwise(F.try_divide(cov, sx * sy)))
 
-
-def mode_of(c) -> Column:
-    """Most frequent non-null value, smallest value on ties.
-
-    ``mode`` keeps a value→count map per group, bounded by the number of
-    distinct values; only used on low-cardinality codes (airports, carriers,
-    weekdays, tiers)."""
-    return F.mode(col_or_name(c), True)
-

@@ -2,19 +2,19 @@
 
 Plan shape: session ranks (price percentile) and customer ranks (price and
 duration tiers) come from ``group_rank`` – hot sessions / customers are
-split – and every feature is then one partial-aggregatable aggregate in a
-single ``groupBy('profileId')``.  The aggregates used are map-side
-combinable (count/sum/min/max/avg/stddev/covariance, ``mode`` on
-low-cardinality codes, ``median`` on whole-day lead times), so a hot
-customer is reduced on the map side before the shuffle.
+split – and most features are then one ``groupBy('profileId')`` of
+fixed-width, map-side combinable aggregates (count/sum/min/max/avg/stddev/
+covariance).  Modes, the median, distinct counts and the programme text are
+narrow aggregates of their own, so a hot customer is reduced on the map side
+before the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from faresight.functions.aggregates import first_non_null, guarded_corr, mode_of
+from faresight.functions.aggregates import first_non_null, guarded_corr
 from faresight.functions.scalar import (clip, contains_or_false, count_not_null, iso_weekday, is_hub,
                                         lead_days, normalise_programme, row_max, row_mean, row_min,
                                         safe_div)
@@ -92,6 +92,48 @@ def distinct_aggregates(rows: DataFrame) -> DataFrame:
     )
 
 
+#: Features that are the most frequent value of a row input over selected rows: name → (input, number or text).
+MODES = {"most_common_departure_airport": ("_dep_air", "text"), "most_common_carrier": ("_mkt0", "text"),
+         "weekday_preference": ("_wd0", "number"), "return_weekday_preference": ("_wd1", "number"),
+         "preferred_duration_quartile": ("_dur_tier", "number"), "preferred_price_tier": ("_price_tier", "number")}
+
+
+def frequency_features(rows: DataFrame) -> DataFrame:
+    """Modes (smallest value on ties) and the median lead time per customer.
+
+    Values are counted first, which combines map-side without a map per
+    customer in memory; a customer then has one row per distinct value."""
+    c = F.col
+    number, text = F.lit(None).cast("long"), F.lit(None).cast("string")
+    # return weekdays are null without a return leg
+    inputs = {**MODES, "_lead": ("_lead", "number")}
+    cells = [F.struct(F.lit(name).alias("kind"), (c(col).cast("long") if how == "number" else number).alias("num"),
+                      (c(col) if how == "text" else text).alias("txt")) for name, (col, how) in inputs.items()]
+    tally = (rows.filter(c("selected") == 1).select("profileId", F.explode(F.array(*cells)).alias("x")).select("profileId", "x.*")
+             .filter(c("num").isNotNull() | c("txt").isNotNull())
+             .groupBy("profileId", "kind", "num", "txt").agg(F.count(F.lit(1)).alias("n")))
+    of_kind = Window.partitionBy("profileId", "kind")
+    placed = tally.withColumns({"upto": F.sum("n").over(of_kind.orderBy("num")), "all": F.sum("n").over(of_kind)})
+    middle = (c("all") - 1) / 2
+
+    def lead_at(place):
+        return F.min(F.when((c("kind") == "_lead") & (c("upto") > place), c("num")))
+
+    def most_frequent(name):
+        value = "num" if MODES[name][1] == "number" else "txt"
+        return F.min(F.when(c("kind") == name, F.struct((-c("n")).alias("n"), c(value).alias("v"))))["v"].alias(name)
+
+    return placed.groupBy("profileId").agg(
+        ((lead_at(F.floor(middle)) + lead_at(F.ceil(middle))) / 2).alias("median_booking_lead_days"),
+        *[most_frequent(name) for name in MODES])
+
+
+def programme_texts(rows: DataFrame) -> DataFrame:
+    """First programme text of each customer, an aggregate of its own: its buffer holds text."""
+    return (rows.filter(F.col("frequentFlyer").isNotNull()).groupBy("profileId")
+            .agg(F.min_by("frequentFlyer", "Id").alias("_programme")))
+
+
 def customer_aggregates(df: DataFrame) -> list:
     c = F.col
     sel = c("selected") == 1
@@ -110,7 +152,6 @@ def customer_aggregates(df: DataFrame) -> list:
         first_non_null("companyID").alias("company_id"),
         first_non_null("sex").cast("int").alias("sex"),
         first_non_null("nationality").alias("nationality"),
-        normalise_programme(first_non_null("frequentFlyer")).alias("frequent_flyer"),
         first_non_null("isVip").cast("int").alias("is_vip"),
         first_non_null("bySelf").cast("int").alias("by_self"),
         F.max(c("corporateTariffCode").isNotNull().cast("int")).alias("has_corp_codes"),
@@ -118,15 +159,10 @@ def customer_aggregates(df: DataFrame) -> list:
         F.min(lead).alias("min_booking_lead_days"),
         F.max(lead).alias("max_booking_lead_days"),
         F.avg(lead).alias("avg_booking_lead_days"),
-        F.median(lead).alias("median_booking_lead_days"),
-        mode_of(s(c("_dep_air"))).alias("most_common_departure_airport"),
-        mode_of(s(c("_mkt0"))).alias("most_common_carrier"),
         F.avg(s(c("_has_ret").cast("double"))).alias("roundtrip_preference"),
         F.min(s(c("_cab_min"))).alias("min_cabin_class"),
         F.max(s(c("_cab_max"))).alias("max_cabin_class"),
         F.avg(s(c("_cab_mean"))).alias("avg_cabin_class"),
-        mode_of(s(wd0)).alias("weekday_preference"),
-        F.coalesce(mode_of(F.when(sel_ret, wd1)), F.lit(-1)).alias("return_weekday_preference"),
         F.avg(s((wd0 >= 5).cast("double"))).alias("weekend_travel_rate"),
         F.avg(F.when(sel_ret, (wd1 >= 5).cast("double"))).alias("return_weekend_travel_rate"),
         F.stddev_samp(s(dep_h)).alias("time_of_day_variance"),
@@ -137,7 +173,6 @@ def customer_aggregates(df: DataFrame) -> list:
         clip((1 - F.avg(s(dur0)) / 180) * 0.7 + F.avg(s(F.when(dur0 <= 180, 1.0).otherwise(0.0))) * 0.3, 0, 1)
          .alias("short_haul_preference"),
         F.avg(s(c("_conn").cast("double"))).alias("connection_tolerance"),
-        mode_of(s(c("_dur_tier"))).alias("preferred_duration_quartile"),
         F.coalesce(guarded_corr(s(c("totalPrice")), s(c("trip_duration_minutes"))), F.lit(0.0))
          .alias("price_to_duration_sensitivity"),
         F.avg(s(ppm)).alias("avg_price_per_minute"),
@@ -145,7 +180,6 @@ def customer_aggregates(df: DataFrame) -> list:
         F.avg(s(c("price_percentile"))).alias("price_position_preference"),
         F.avg(s(c("_prem"))).alias("premium_economy_preference"),
         (1 - clip(F.coalesce(F.stddev_samp(s(c("_price_tier"))), F.lit(0.0)) / 3, 0, 1)).alias("consistent_price_tier"),
-        mode_of(s(c("_price_tier"))).alias("preferred_price_tier"),
         F.coalesce(F.avg(s(c("_bag0"))), F.lit(0.0)).alias("baggage_qty_preference"),
         F.coalesce(F.avg(s(c("_bag1"))), F.lit(0.0)).alias("baggage_weight_preference"),
         F.coalesce(F.avg(s(c("_ff_hit").cast("double"))), F.lit(0.0)).alias("loyalty_program_utilization"),
@@ -207,8 +241,10 @@ def customer_features(df: DataFrame, single_row_percentile: float = float("nan")
     main = rows.groupBy("profileId").agg(*customer_aggregates(rows))
     dist = distinct_aggregates(base)
     c = F.col
-    agg = main.join(dist, "profileId").select(
-        "*",
+    agg = main.join(dist, "profileId").join(frequency_features(rows), "profileId", "left")
+    agg = agg.join(programme_texts(base), "profileId", "left").withColumn(
+        "return_weekday_preference", F.coalesce("return_weekday_preference", F.lit(-1))).select(
+        "*", normalise_programme("_programme").alias("frequent_flyer"),
         (c("total_flights_searched") / c("total_search_sessions")).alias("avg_searches_per_session"),
         (1 - (c("unique_routes_searched") + c("_route_null")) / F.greatest(c("total_flights_searched"), F.lit(1)))
         .alias("route_loyalty"))
