@@ -5,7 +5,8 @@ and prints one JSON line.  Like the reference pipeline, stages hand over
 through parquet: ``bind`` materialises the option table once (in the
 session's shared checkpoint folder), later stages read it; customer and
 option features are written as stages and joined by ``combine``.  Every
-stage is fully executed; value = sum of the stage times.
+stage is fully executed; value = sum of the stage times.  ``segments`` removes
+outliers before it fits; ``ranker_2_rounds`` are two boosting rounds over all options.
 """
 
 from __future__ import annotations
@@ -53,9 +54,14 @@ def main():
     run("option_features", lambda: write_stage(option_features(cand), opt_p))
     run("combine", lambda: noop(combine(spark.read.parquet(opt_p), spark.read.parquet(cust_p))))
     run("hit_rate", lambda: noop(metrics.hit_rate_at_k(price_rank_scored_from(cand), k=3)))
+    from faresight.operators.iforest import remove_outliers
+    from faresight.operators.lambdamart import train_lambdamart
+    from faresight.plans.catalog import OUTLIER_SHARE, RANK_BINS, segment_customers
+    run("outliers", lambda: noop(remove_outliers(spark.read.parquet(cust_p), OUTLIER_SHARE)[1]))
     if os.environ.get("BENCH_SEGMENTS", "1") == "1":
-        from faresight.plans.catalog import segment_customers
         run("segments", lambda: noop(segment_customers(spark.read.parquet(cust_p))))
+    if os.environ.get("BENCH_RANKER", "1") == "1":
+        run("ranker_2_rounds", lambda: train_lambdamart(spark.read.parquet(opt_p), rounds=2, max_bins=RANK_BINS))
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "stage_seconds", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "sf": sf}))
