@@ -51,13 +51,14 @@ def boilerplate_positions(docs: DataFrame, id_col: str = "doc_id", site_col: str
     spread = (lines.groupBy(*_LINE).agg(F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(SKETCH_LOG_K))).alias("_sites"))
               .filter(F.col("_sites") >= min_sites * (1 - NEAR))
               .withColumn("_near", F.col("_sites") < min_sites * (1 + NEAR)))
-    found = materialize(lines.join(spread.drop("_sites"), _LINE), "line-candidates")
+    # aggregated sides are written before they are joined: with a plain exchange on both sides a hot line can be split
+    found = materialize(lines.join(materialize(spread.drop("_sites"), "line-spread"), _LINE), "line-candidates")
     exact = (found.filter("_near").groupBy(*_LINE).agg(F.count_distinct("_site").alias("_sites"))
              .filter(F.col("_sites") >= min_sites).select(*_LINE))
     sure = found.filter("NOT _near").select(*_LINE).distinct()
     place = F.struct("_no_id", "_id", "_version", "_pos")
     first = found.groupBy(*_LINE).agg(F.min(place).alias("_first")).join(exact.unionByName(sure), _LINE)
-    return (found.join(first, _LINE).filter(place != F.col("_first"))
+    return (found.join(materialize(first, "line-firsts"), _LINE).filter(place != F.col("_first"))
             .groupBy("_no_id", "_id", "_version").agg(F.collect_set("_pos").alias("removed")))
 
 
