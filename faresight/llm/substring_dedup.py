@@ -268,16 +268,18 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     hashed = docs.select("doc", "version", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"))
     rows = materialize(hashed.filter(F.size("hashes") >= window)
                        .mapInArrow(lambda b: _find_segments(b, window), _SEGMENTS), "segments")
+    # aggregated sides are written before they are joined: with a plain exchange on both sides a hot mark can be split
     marks = (rows.groupBy("mark").agg(F.min("doc").alias("a"), F.max("doc").alias("b"),
                                       (F.min("content") != F.max("content")).alias("several"))
              .filter("a < b").select("mark", "several"))
-    shared = materialize(rows.join(marks, "mark"), "segments-shared")
-    firsts = shared.groupBy("mark", "content").agg(F.min("doc").alias("first"))
+    shared = materialize(rows.join(materialize(marks, "marks"), "mark"), "segments-shared")
+    firsts = materialize(shared.groupBy("mark", "content").agg(F.min("doc").alias("first")), "segment-firsts")
     placed = shared.join(firsts, ["mark", "content"])
     copies = placed.filter("doc > first").select("doc", "version", "lo", "hi")
     heads = materialize(placed.filter("doc = first AND several").select("mark", "doc", "version", "lo", "hi"), "segment-heads")
     sizes = heads.groupBy("mark").agg(F.count("*").alias("n"), F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b")
-    heads = materialize(heads.join(sizes.select("mark", (F.col("n") > SHARD_SEGMENTS).alias("split")), "mark"), "segment-shards")
+    sizes = materialize(sizes.select("mark", (F.col("n") > SHARD_SEGMENTS).alias("split")), "shard-sizes")
+    heads = materialize(heads.join(sizes, "mark"), "segment-shards")
 
     def with_words(part: DataFrame) -> DataFrame:
         wanted = part.groupBy("doc", "version").agg(F.collect_list(F.struct("mark", "lo", "hi")).alias("wanted"))
@@ -292,7 +294,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         windows = materialize(with_words(heads.filter("split"))
                               .mapInArrow(lambda b: _segment_windows(b, window), _WINDOWS), "segment-windows")
         first = windows.groupBy("window").agg(F.min("doc").alias("first"), F.max("doc").alias("b")).filter("first < b").drop("b")
-        out = out.unionByName(windows.join(first, "window").filter("doc > first")
+        out = out.unionByName(windows.join(materialize(first, "window-firsts"), "window").filter("doc > first")
                               .select("doc", "version", "lo", F.col("lo").alias("hi")))
     return out
 
