@@ -171,6 +171,10 @@ def fit_rules(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label
                 .filter(F.col("_label").isNotNull() & F.col(id_col).isNotNull())
                 .join(stats.filter(~base_failed()), id_col))
     key = F.xxhash64(F.col(id_col), F.lit(SEED))
+    labelled = materialize(labelled, "quality-labelled")
+    # about fit_rows of all by hash, so that tasks send no more than the sample; the limit only trims chance
+    share = min(1.0, 1.1 * fit_rows / max(1, labelled.count()))
+    labelled = labelled.filter(F.pmod(key, F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
     sample = (labelled.select(key.alias("_key"), (F.col("_label") == 0).cast("int").alias("bad"),
                               (F.pmod(key, F.lit(3)) == 0).cast("int").alias("prune"),
                               *[F.expr(e).alias(n) for n, e in FEATURES.items()])
