@@ -18,6 +18,7 @@ Queries are searched in blocks of bounded size against all rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -203,7 +204,11 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("vector"),
                           F.coalesce(queries, F.lit(False)).alias("_query")).filter(F.col("vec_id").isNotNull())
     out = "query_id long, vec_id long, score double"
-    sample = [r["vector"] for r in rows.filter(_valid(F.col("vector"))).select("vec_id", "vector")
+    # about fit_rows of all by hash, so that tasks send no more than the sample; the limit only trims chance
+    usable = rows.filter(_valid(F.col("vector")))
+    share = min(1.0, 1.1 * fit_rows / max(1, usable.count()))
+    part = F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.lit(1 << 20)) < math.ceil(share * (1 << 20))
+    sample = [r["vector"] for r in usable.filter(part).select("vec_id", "vector")
               .orderBy(F.xxhash64("vec_id", F.lit(SEED)), "vec_id", "vector").limit(fit_rows).collect()]
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
