@@ -187,6 +187,25 @@ def test_overlaps_derived_from_similar_sets():
     assert jaccard_join.overlaps(sets).tolist() == want
 
 
+def test_bitmaps_bound_the_difference_and_fold():
+    rng = np.random.default_rng(3)
+    sets = []
+    for n in (1, 90, 1000, 1030, 1100, 2100, 4000, 4200, 9000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        sets += [np.unique(base), np.unique(np.concatenate((base[: n - n // 40], rng.integers(0, 1 << 63, n // 30, dtype=np.uint64))))]
+    maps = [np.frombuffer(jaccard_join.parity_bitmap(s), dtype=np.uint64) for s in sets]
+    size = np.array([len(m) for m in maps])
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if max(size[i], size[j]) <= 2 * min(size[i], size[j])]
+    a, b = (np.array(c) for c in zip(*pairs, strict=True))
+    assert len(set(size)) > 3 and (size[a] != size[b]).any()
+    got = jaccard_join.differing_bits(np.concatenate(maps), np.cumsum(size) - size, size, a, b)
+    for i, j, bits in zip(a, b, got, strict=True):
+        apart = len(np.setxor1d(sets[i], sets[j]))
+        lo = min(size[i], size[j]) * 64
+        parity = np.bincount((np.setxor1d(sets[i], sets[j]) & np.uint64(lo - 1)).astype(np.int64), minlength=lo) & 1
+        assert bits == parity.sum() <= apart
+
+
 def test_prefix_filter_loses_no_pair():
     rng = random.Random(2)
     for _ in range(300):
