@@ -43,11 +43,13 @@ PERCENT = 90
 FREQUENT_TOKENS = 100_000
 FREQUENT_IN_BATCH = 2
 FREQUENT_MIN = 12
-#: Bits of a set's parity bitmap.
+#: Least bits of a set's parity bitmap; larger sets have the power of two from half their size on.
 BITMAP = 512
+#: 64-bit words of bitmaps that are compared at once; bounds a worker's memory.
+COMPARED_WORDS = 1 << 20
 LONG_LIST = 64
-#: Sets per chunk of a cluster, the most chunks at that size, and the largest chunk.
-CHUNK, MAX_SMALL_CHUNKS, MAX_CHUNK = 64, 64, 4096
+#: Sets, and shingles in them, per chunk of a cluster; a task holds two chunks.
+CHUNK, CHUNK_SHINGLES = 512, 500_000
 #: Distinct words whose hash a worker keeps.
 MAX_WORDS = 500_000
 
@@ -89,6 +91,20 @@ def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(_mix(out))
 
 
+def parity_bitmap(s: np.ndarray) -> bytes:
+    """Parity of the set's members per hash bucket.
+
+    A differing bit needs a member that only one of two sets has.  With half as
+    many buckets as members or more, unlike sets of any size differ visibly;
+    folding the halves of a bitmap gives the one of half the size.
+    """
+    bits = BITMAP
+    while 2 * bits < len(s):
+        bits *= 2
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
 def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - (percent * n + 99) // 100 + 1
 
@@ -103,9 +119,7 @@ def _describe(batches: Iterable[pa.RecordBatch], size: int, percent: int) -> Ite
             s = shingle_set(text.as_py(), size)
             c1 = int(np.bitwise_xor.reduce(_mix(s * _C1))) if len(s) else 0
             c2 = int(np.add.reduce(_mix(s * _C2), dtype=np.uint64)) if len(s) else 0
-            odd = np.bincount((s & np.uint64(BITMAP - 1)).astype(np.int64), minlength=BITMAP) & 1
-            bits = np.packbits(odd.astype(bool)).tobytes()
-            rows.append((doc, len(s), c1 - (c1 >> 63 << 64), c2 - (c2 >> 63 << 64), bits, None, None))
+            rows.append((doc, len(s), c1 - (c1 >> 63 << 64), c2 - (c2 >> 63 << 64), parity_bitmap(s), None, None))
             prefixes.append(s[:prefix_length(len(s), percent)])
         if prefixes:
             tokens, seen = np.unique(np.concatenate(prefixes), return_counts=True)
@@ -186,8 +200,28 @@ def slack(n1: np.ndarray, n2: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return total - 2 * (-(-percent * total // (100 + percent)))
 
 
-def list_candidates(token: np.ndarray, n: np.ndarray, pos: np.ndarray, bits: np.ndarray,
-                    percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def differing_bits(words: np.ndarray, at: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of the bitmaps of row pairs; ``at`` and ``size`` place a row's words, the larger map is folded."""
+    out = np.empty(len(a), dtype=np.int64)
+    small, large = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
+    for pair_size in set(zip(small.tolist(), large.tolist(), strict=True)):
+        lo, hi = pair_size
+        mine = np.nonzero((small == lo) & (large == hi))[0]
+        for i in range(0, len(mine), max(1, COMPARED_WORDS // hi)):
+            part = mine[i:i + max(1, COMPARED_WORDS // hi)]
+            total = None
+            for side in (a[part], b[part]):
+                for fold in range(0, hi, lo):
+                    # a smaller map has no further folds
+                    rows = np.where(size[side] > fold, at[side] + fold, -1)
+                    piece = np.where(rows[:, None] >= 0, words[np.maximum(rows, 0)[:, None] + np.arange(lo)], np.uint64(0))
+                    total = piece if total is None else total ^ piece
+            out[part] = np.bitwise_count(total).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def list_candidates(token: np.ndarray, n: np.ndarray, pos: np.ndarray, words: np.ndarray, at: np.ndarray,
+                    size: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row pairs of one list that no bound excludes; rows are sorted by token, size and position."""
     rows = np.arange(len(token) - 1)
     step = 1
@@ -201,8 +235,7 @@ def list_candidates(token: np.ndarray, n: np.ndarray, pos: np.ndarray, bits: np.
         apart = np.abs(pos[rows] - pos[other]) + np.abs((n[rows] - pos[rows]) - (n[other] - pos[other]))
         ok = apart <= room
         a, b = rows[ok], other[ok]
-        differ = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
-        keep = differ <= room[ok]
+        keep = differing_bits(words, at, size, a, b) <= room[ok]
         yield a[keep], b[keep]
         step += 1
 
@@ -214,9 +247,11 @@ def _search_lists(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[p
     def search(t: pa.Table) -> None:
         t = t.combine_chunks()
         doc = t["doc"].to_numpy()
-        bits = np.frombuffer(b"".join(t["bits"].to_pylist()), dtype=np.uint64).reshape(-1, BITMAP // 64)
+        maps = t["bits"].to_pylist()
+        size = np.array([len(m) // 8 for m in maps], dtype=np.int64)
         for a, b in list_candidates(t["token"].to_numpy(), t["n"].to_numpy().astype(np.int64),
-                                    t["pos"].to_numpy().astype(np.int64), bits, percent):
+                                    t["pos"].to_numpy().astype(np.int64), np.frombuffer(b"".join(maps), dtype=np.uint64),
+                                    np.cumsum(size) - size, size, percent):
             for x, y in set(zip(doc[a].tolist(), doc[b].tolist(), strict=True)):
                 forest.union(x, y)
 
@@ -316,6 +351,8 @@ def candidate_clusters(docs: DataFrame, size: int, percent: int) -> tuple[DataFr
                                              np.array([c for _, c in often], dtype=np.int64)))
     sets = described.filter("token IS NULL")
     classes = sets.filter("n > 0").groupBy("c1", "c2", "n").agg(F.min("doc").alias("rep"))
+    # written first: with a plain exchange on both sides a class of very many copies can be split
+    classes = materialize(classes, "jaccard-reps")
     members = materialize(sets.join(classes, ["c1", "c2", "n"], "left").select(
         "doc", "n", F.coalesce("rep", "doc").alias("rep"), F.when(F.col("doc") == F.col("rep"), F.col("bits")).alias("bits")),
         "jaccard-classes")
@@ -353,10 +390,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     keyed = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     known = keyed.filter(F.col("doc").isNotNull())
     members, clusters = candidate_clusters(known, size, percent)
-    sizes = clusters.groupBy("root").agg(F.count("*").alias("members"))
-    chunks = F.greatest(F.least(F.ceil(F.col("members") / CHUNK), F.lit(MAX_SMALL_CHUNKS)),
-                        F.ceil(F.col("members") / MAX_CHUNK)).cast("int")
-    wanted = clusters.join(sizes, "root").select(F.col("node").alias("doc"), "root", chunks.alias("chunks"))
+    sizes = (clusters.join(members.select(F.col("doc").alias("node"), "n"), "node").groupBy("root")
+             .agg(F.count("*").alias("members"), F.sum("n").alias("shingles")))
+    chunks = F.greatest(F.ceil(F.col("members") / CHUNK), F.ceil(F.col("shingles") / CHUNK_SHINGLES)).cast("int")
+    wanted = clusters.join(materialize(sizes, "cluster-sizes"), "root").select(F.col("node").alias("doc"), "root", chunks.alias("chunks"))
     with_sets = (known.join(wanted, "doc").select("doc", "text", "root", "chunks")
                  .mapInArrow(lambda b: _as_sets(b, size), "doc long, root long, chunks int, shingles array<long>"))
     mine = F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int")
