@@ -22,6 +22,8 @@ from faresight.sources.tables import read_table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Words per block of the mix: most documents are taken whole.
 MIX_BLOCK_WORDS = 256
+#: Words per shingle and similarity in percent from which two documents are near copies.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def _versioned(docs: DataFrame) -> DataFrame:
@@ -52,7 +54,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones: the smallest id, of rows with equal ids the smallest text hash."""
     docs = _versioned(docs.select(COLUMNS))
-    heads = jaccard_components(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    heads = jaccard_components(docs, size=NEAR_WORDS, percent=NEAR_PERCENT).filter("doc_id = component_id").select("doc_id").distinct()
     row = F.struct("text", "lang", "source", "n_chars")
     known = docs.join(heads, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.struct("_version", row)).alias("r"))
     unnamed = docs.filter("doc_id IS NULL").groupBy("doc_id", "_version").agg(F.min(row).alias("r"))
