@@ -13,7 +13,9 @@ The radius is read off the sample: the Hamming distance that covers
 ``RADIUS_COVERAGE`` of the sample's true neighbours.  Neighbours in the whole
 table are nearer than in a sample, so the radius errs to the wide side.
 
-Queries are searched in blocks of bounded size against all rows.
+Queries are searched in blocks of bounded size against all rows.  The radius is
+one for all queries: those that it leaves short of k rows are searched again
+with a growing one, at last with all bits, which holds every row.
 """
 
 from __future__ import annotations
@@ -134,9 +136,14 @@ def _encode(batches: Iterable[pa.RecordBatch], codes: Codes) -> Iterator[pa.Reco
                                              ["vec_id", "code", "vector"])
 
 
-def _search(batches: Iterable[pa.RecordBatch], codes: Codes, q_ids: np.ndarray, q_vectors: np.ndarray,
+def wider(radius: int) -> int:
+    """The next radius for queries that ``radius`` leaves short."""
+    return min(BITS, 2 * radius + 4)
+
+
+def _search(batches: Iterable[pa.RecordBatch], codes: Codes, radius: int, q_ids: np.ndarray, q_vectors: np.ndarray,
             k: int) -> Iterator[pa.RecordBatch]:
-    """The k nearest retrieved rows of this task for each query of the block."""
+    """The k nearest rows within ``radius`` of this task for each query of the block."""
     q_codes = codes.encode(q_vectors)
     q_norm = (q_vectors ** 2).sum(axis=1)
     best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0))] * len(q_ids)
@@ -145,7 +152,7 @@ def _search(batches: Iterable[pa.RecordBatch], codes: Codes, q_ids: np.ndarray,
         tables, norm = Substrings(code), (x ** 2).sum(axis=1)
         for a in range(0, len(q_ids), QUERY_SLICE):
             qs = slice(a, a + QUERY_SLICE)
-            seen = tables.within(q_codes[qs], codes.radius)
+            seen = tables.within(q_codes[qs], radius)
             seen &= ids[None, :] != q_ids[qs, None]
             rough = q_norm[qs, None] + norm[None, :] - 2 * (q_vectors[qs] @ x.T)
             rough[~seen] = np.inf
@@ -196,7 +203,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec
 
     Vectors that are null, empty, all zero or hold a null or non-finite
     component take no part, nor do rows with a null id or another dimension
-    than the fitted sample's most frequent one.  Repeated rows are candidates
+    than the fitted sample's most frequent one.  A query gets fewer than k rows only
+    where there are fewer candidates.  Repeated rows are candidates
     of their own; a query id on several rows is searched from the first by
     vector order.  Without valid vectors the result is empty.
     """
@@ -221,17 +229,30 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec
         f"vec_id long, code long, vector {rows.schema['vector'].dataType.simpleString()}"), "mih-index")
     asked = materialize(valid.filter("_query").groupBy("vec_id").agg(F.min("vector").alias("vector")), "mih-queries")
     n_blocks = -(-asked.count() // QUERY_BLOCK)
+    by_query = Window.partitionBy("query_id").orderBy("score", "vec_id")
     found = None
     for block in _blocks(asked, n_blocks):
         q_ids = np.array([r["vec_id"] for r in block], dtype=np.int64)
         q_vectors = np.array([r["vector"] for r in block], dtype=np.float64)
-        part = index.mapInArrow(lambda b, q_ids=q_ids, q_vectors=q_vectors: _search(b, codes, q_ids, q_vectors, k), out)
-        found = part if found is None else found.unionByName(part)
+        radius = codes.radius
+        while len(q_ids):
+            part = index.mapInArrow(lambda b, radius=radius, q_ids=q_ids, q_vectors=q_vectors:
+                                    _search(b, codes, radius, q_ids, q_vectors, k), out)
+            part = materialize(part.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k), "mih-found")
+            # the k-th row of a query says that it is full; at most a block of ids
+            full = [r["query_id"] for r in part.filter(F.col("rank") == k).select("query_id").collect()]
+            short = ~np.isin(q_ids, np.array(full, dtype=np.int64))
+            if short.any() and radius < BITS:
+                enough = part.filter(F.col("rank") == k).select("query_id")
+                part = part.join(enough, "query_id", "left_semi")
+            else:
+                short[:] = False
+            part = part.select("query_id", "rank", "vec_id", "score")
+            found = part if found is None else found.unionByName(part)
+            q_ids, q_vectors, radius = q_ids[short], q_vectors[short], wider(radius)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    by_query = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return (found.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return found
 
 
 def _blocks(asked: DataFrame, n_blocks: int) -> Iterator[list]:

@@ -83,3 +83,25 @@ def test_learned_rotation_beats_a_random_one():
     near = np.argsort(((x - q) ** 2).sum(axis=1))[1:11]
     far = np.bitwise_count(learned.encode(x) ^ learned.encode(x[:1])[0])
     assert far[near].mean() < far.mean() - 5
+
+
+def test_every_query_gets_k_rows_on_skewed_vectors(spark):
+    """Tight clusters make the sample's radius small; outliers have no code inside it."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(60, 32))
+    vectors = [(i, centres[i % 60] + 1e-4 * rng.normal(size=32)) for i in range(3600)]
+    far = [i for i in range(0, 3600, 100)][:8]
+    for i in far:
+        vectors[i] = (i, 3 * rng.normal(size=32))
+    sample = np.array([v for _, v in vectors])
+    codes = fit_codes(sample, 10)
+    code = codes.encode(sample)
+    inside = [(np.bitwise_count(code ^ code[i]) <= codes.radius).sum() - 1 for i in far]
+    assert codes.radius < 64 and min(inside) < 10
+    got = {}
+    for r in nearest(frame(spark, vectors), F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert set(got) == set(range(0, 3600, 100))
+    for q, rows in got.items():
+        assert sorted(n for n, _ in rows) == list(range(1, 11))
+        assert len({i for _, i in rows} - {q}) == 10
