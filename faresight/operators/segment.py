@@ -277,20 +277,34 @@ def gmm_sweep(points: DataFrame, ks, seed: int = 42, vec: str = "features"):
     return (int(name) if name else None), model, [(int(n), s) for n, s in results]
 
 
-def hierarchical_sweep(points: DataFrame, ks, seed: int = 42, vec: str = "features"):
+def hierarchical_sweep(points: DataFrame, ks, seed: int = 42, vec: str = "features", distances=("euclidean", "cosine")):
     """Divisive hierarchical clustering (bisecting k-means), the form of a
     hierarchy that needs no pairwise distances, by Euclidean and by cosine distance.
 
     Returns (best 'distance_k', model, [(name, squared silhouette)])."""
     return sweep(points, {f"{d}_{k}": BisectingKMeans(k=k, seed=seed, distanceMeasure=d)
-                          for d in ("euclidean", "cosine") for k in ks}, vec)
+                          for d in distances for k in ks}, vec)
 
 
-def alternative_methods(points: DataFrame, ks, seed: int = 42) -> list[tuple[str, str, float]]:
-    """(method, chosen setting, squared silhouette) of each family of clusterings."""
+#: Sizes that the reference sweeps: mixtures (J7), alternative hierarchy (J9), hierarchy by several distances.
+GMM_KS = list(range(15, 41, 5))
+WARD_KS = list(range(10, 36, 5))
+HIERARCHY_KS = list(range(4, 17))
+
+
+def alternative_methods(points: DataFrame, ks, seed: int = 42, gmm_ks=GMM_KS, ward_ks=WARD_KS,
+                        hierarchy_ks=HIERARCHY_KS) -> list[tuple[str, str, float]]:
+    """(method, chosen setting, squared silhouette) of each family of clusterings, each over its own
+    sizes: k-means ``ks``, mixtures ``gmm_ks``, the Euclidean hierarchy of J9 ``ward_ks``, that of J12
+    ``hierarchy_ks`` by both distances."""
+    def euclidean(points, ks, seed):
+        return hierarchical_sweep(points, ks, seed, distances=("euclidean",))
+
     out = []
-    for method, fit in (("kmeans", sweep_kmeans), ("gmm", gmm_sweep), ("hierarchical", hierarchical_sweep)):
-        name, _, results = fit(points, ks, seed)
+    for method, fit, sizes in (("kmeans", sweep_kmeans, ks), ("gmm", gmm_sweep, gmm_ks),
+                               ("hierarchical", hierarchical_sweep, hierarchy_ks),
+                               ("hierarchical_euclidean", euclidean, ward_ks)):
+        name, _, results = fit(points, sizes, seed)
         if name is not None:
             out.append((method, str(name), _best(results)[1]))
     return out

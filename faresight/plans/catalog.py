@@ -540,8 +540,8 @@ def q_customer_scaling(spark, sf_dir):
 
 @register("clustering_methods")
 def q_clustering_methods(spark, sf_dir):
-    """Best squared silhouette of k-means, Gaussian mixtures and a divisive hierarchy."""
+    """Best squared silhouette of k-means, Gaussian mixtures and a divisive hierarchy, each over its own sizes."""
     cleaned, _ = remove_outliers(staged(_cust(spark, sf_dir), "customers"), OUTLIER_SHARE)
     reduced, _ = reduced_customers(cleaned)
-    rows = SG.alternative_methods(reduced, [4, 8, 12])
+    rows = SG.alternative_methods(reduced, SWEEP_KS)
     return spark.createDataFrame(rows, "method string, setting string, silhouette_sq double")

@@ -36,3 +36,27 @@ def test_nearest_centroid(spark):
     for i in range(len(x)):
         assert out[i].customer_segment == int(d[i].argmin())
         assert abs(out[i].min_distance - d[i].min()) < 1e-9
+
+
+def test_every_family_sweeps_its_own_sizes(spark, monkeypatch):
+    """The registered query hands each family the sizes of J7, J9 and J12."""
+    from faresight.plans import catalog
+    seen = {}
+
+    def note(points, estimators, vec="features"):
+        kind = type(next(iter(estimators.values()))).__name__
+        seen.setdefault(kind, []).append(list(estimators))
+        return next(iter(estimators)), estimators[next(iter(estimators))], [(n, 0.0) for n in estimators]
+
+    monkeypatch.setattr(SG, "sweep", note)
+    monkeypatch.setattr(catalog, "_cust", lambda *a: None)
+    monkeypatch.setattr(catalog, "staged", lambda df, name: df)
+    monkeypatch.setattr(catalog, "remove_outliers", lambda *a: (None, None))
+    monkeypatch.setattr(catalog, "reduced_customers", lambda c: (None, None))
+    rows = catalog.q_clustering_methods(spark, "").collect()
+    j12 = [str(k) for k in range(4, 17)]
+    assert seen["KMeans"] == [j12]
+    assert seen["GaussianMixture"] == [["15", "20", "25", "30", "35", "40"]]
+    assert seen["BisectingKMeans"] == [[f"{d}_{k}" for d in ("euclidean", "cosine") for k in j12],
+                                       [f"euclidean_{k}" for k in range(10, 36, 5)]]
+    assert [r.method for r in rows] == ["kmeans", "gmm", "hierarchical", "hierarchical_euclidean"]
