@@ -86,6 +86,5 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
-    "op6_suffix_automata": op6_suffix_automata,
     "op7_line_spread": line_spread.ORACLE_SQL,
 }
