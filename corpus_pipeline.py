@@ -52,13 +52,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: the smallest id, of rows with equal ids the smallest text hash."""
+    """One document of each group of linked texts: the smallest id, of equal ids the smallest text hash.
+
+    Rows are linked by a key of id and text, so that rows with equal ids and different texts are judged
+    each by its own links; exact copies of a row are one.
+    """
     docs = _versioned(docs.select(COLUMNS))
-    heads = jaccard_components(docs, size=NEAR_WORDS, percent=NEAR_PERCENT).filter("doc_id = component_id").select("doc_id").distinct()
     row = F.struct("text", "lang", "source", "n_chars")
-    known = docs.join(heads, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.struct("_version", row)).alias("r"))
+    known = docs.filter("doc_id IS NOT NULL").withColumn("_key", F.xxhash64("doc_id", "_version"))
+    groups = jaccard_components(known, id_col="_key", size=NEAR_WORDS, percent=NEAR_PERCENT)
+    groups = groups.select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    heads = (known.select("doc_id", "_version", "_key").join(groups, "_key").groupBy("component_id")
+             .agg(F.min(F.struct("doc_id", "_version")).alias("h")).select("h.*"))
+    kept = known.join(heads, _same_row(known, heads), "left_semi").groupBy("doc_id", "_version").agg(F.min(row).alias("r"))
     unnamed = docs.filter("doc_id IS NULL").groupBy("doc_id", "_version").agg(F.min(row).alias("r"))
-    return known.unionByName(unnamed.drop("_version")).select("doc_id", "r.*").select(COLUMNS)
+    return kept.unionByName(unnamed).select("doc_id", "r.*").select(COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

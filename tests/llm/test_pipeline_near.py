@@ -53,3 +53,13 @@ def test_near_copies_at_five_words_and_080(spark):
     got = sorted(r.doc_id for r in pipeline.near_duplicates(spark, docs, "").collect())
     assert got == kept_by_brute_force(rows)
     assert 6 not in got and 14 in got
+
+
+def test_texts_under_one_id_are_judged_by_their_own_links(spark):
+    rng = random.Random(12)
+    one, two, three = (" ".join(f"{g}{rng.randrange(10_000)}" for _ in range(80)) for g in "abc")
+    rows = [(1, one), (2, two), (7, one + " more"), (7, two + " more"), (7, three), (7, three), (None, one)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = {(r.doc_id, r.text) for r in pipeline.near_duplicates(spark, docs, "").collect()}
+    assert got == {(1, one), (2, two), (7, three), (None, one)}
