@@ -1,6 +1,6 @@
 """Plan shape: feature plans stay JVM-side and prune columns at the scan."""
 
-from conftest import SF001
+from tables import SF001
 from faresight.operators.customers import customer_features
 from faresight.operators.options import option_features
 from faresight.sources import candidates

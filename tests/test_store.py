@@ -5,7 +5,7 @@ import types
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from tables import SF001
 from faresight import session
 from faresight.operators import segment as SG
 from faresight.operators.lambdamart import LambdaMARTModel, train_lambdamart
