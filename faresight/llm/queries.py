@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.llm import line_spread
+from faresight.llm import lexical, line_spread, negatives
 from faresight.llm.chat import format_conversations, read_back, turns_as_events
 from faresight.llm.common import shared_path
 from faresight.llm.jaccard_join import jaccard_components
@@ -14,6 +14,7 @@ from faresight.llm.mixing import mix_sources
 from faresight.llm.packing import pack_documents
 from faresight.llm.quality import quality_rules
 from faresight.llm.sharding import shard_documents, uniform_tree
+from faresight.llm.syncmers import fingerprint_edits
 from faresight.llm.substring_dedup import remove_repeated_passages
 from faresight.llm.token_files import read_token_files, write_token_files
 from faresight.llm.tokens import vocabulary_path
@@ -72,6 +73,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder)
 
 
+def op11_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
+def op12_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(read_table(spark, sf_dir, "benchmark"), read_table(spark, sf_dir, "documents"))
+
+
+def op13_shared_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_multi_index_hashing": op2_multi_index_hashing,
@@ -83,8 +96,13 @@ QUERIES = {
     "op8_set_relations": op8_set_relations,
     "op9_shard_tree": op9_shard_tree,
     "op10_token_files": op10_token_files,
+    "op11_syncmers": op11_syncmers,
+    "op12_dual_tree": op12_dual_tree,
+    "op13_shared_lists": op13_shared_lists,
 }
 
 ORACLE: dict[str, str] = {
     "op7_line_spread": line_spread.ORACLE_SQL,
+    "op12_dual_tree": lexical.ORACLE_SQL,
+    "op13_shared_lists": negatives.ORACLE_SQL,
 }
