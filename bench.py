@@ -56,12 +56,12 @@ def main():
     run("hit_rate", lambda: noop(metrics.hit_rate_at_k(price_rank_scored_from(cand), k=3)))
     from faresight.operators.iforest import remove_outliers
     from faresight.operators.lambdamart import train_lambdamart
-    from faresight.plans.catalog import OUTLIER_SHARE, RANK_BINS, segment_customers
+    from faresight.plans.catalog import OUTLIER_SHARE, segment_customers
     run("outliers", lambda: noop(remove_outliers(spark.read.parquet(cust_p), OUTLIER_SHARE)[1]))
     if os.environ.get("BENCH_SEGMENTS", "1") == "1":
         run("segments", lambda: noop(segment_customers(spark.read.parquet(cust_p))))
     if os.environ.get("BENCH_RANKER", "1") == "1":
-        run("ranker_2_rounds", lambda: train_lambdamart(spark.read.parquet(opt_p), rounds=2, max_bins=RANK_BINS))
+        run("ranker_2_rounds", lambda: train_lambdamart(spark.read.parquet(opt_p), rounds=2))
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "stage_seconds", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "sf": sf}))

@@ -377,8 +377,8 @@ def q_embedding_silhouette(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- ranking
-#: Short of the library's default (1000 rounds, 255 bins): a registered query must end in minutes.
-RANK_ROUNDS, RANK_BINS = 8, 64
+#: Short of the library's default of 1000 rounds: a registered query must end in minutes.
+RANK_ROUNDS = 50
 
 
 def ranking_experiment(spark, sf_dir, rounds: int = RANK_ROUNDS, history: str = "train", ks=None):
@@ -405,10 +405,8 @@ def ranking_experiment(spark, sf_dir, rounds: int = RANK_ROUNDS, history: str =
     seg_test = fitted.assign(cust_test).select("profileId", "customer_segment")
     comb_train = combine(option_features(train), cust_train.join(seg_train, "profileId")).checkpoint()
     comb_test = combine(option_features(test), cust_test.join(seg_test, "profileId")).checkpoint()
-    models = LM.train_segment_rankers(comb_train, rounds=rounds, max_bins=RANK_BINS)
-    seg_scored = LM.score_by_segment(models, comb_test, out="y_pred")
-    gen_scored = models[99].score(comb_test, out="y_general").select("Id", "y_general")
-    return seg_scored.join(gen_scored, "Id")
+    models = LM.train_segment_rankers(comb_train, rounds=rounds)
+    return LM.score_models(models, comb_test, {"y_pred": LM.SEGMENT, "y_general": None})
 
 
 @register("ranker_segment_comparison")

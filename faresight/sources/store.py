@@ -29,11 +29,19 @@ def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to a new path of this run and read again."""
+def staged(df: DataFrame, name: str, with_path: bool = False):
+    """``df`` written to a new path of this run and read again (and the path, for ``drop_stage``)."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    return (read, path) if with_path else read
+
+
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Delete a stage of this run that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def load_or_build(spark: SparkSession, path: str, build, required: list[str] | None = None,

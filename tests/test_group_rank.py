@@ -2,10 +2,11 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from faresight.operators.group_rank import group_rank
+from faresight.operators.group_rank import _splitters, group_rank
 from faresight.operators.split import session_assignment
 from faresight.sources.store import staged
 
@@ -17,12 +18,13 @@ def _plain(df, key, value, tie):
                      F.count(v).over(w).alias("g_count"), F.min(v).over(w).alias("g_min"))
 
 
-def _differences(df, key, value, tie):
-    a = group_rank(df, key, value, tie)
+def _differences(df, key, value, tie, **kw):
+    a = group_rank(df, key, value, tie, **kw)
     return a.exceptAll(_plain(df, key, value, tie).select(*[F.col(c).cast(t) for c, t in a.dtypes])).count()
 
 
-def test_hot_key_with_extra_columns(spark):
+@pytest.mark.parametrize("hot_rows", [None, 5000])
+def test_hot_key_with_extra_columns(spark, hot_rows):
     """400,000 rows, 70 % in one key, a hot null key, equal values, infinities and NaN."""
     n = F.col("id")
     h = F.pmod(F.xxhash64("id"), F.lit(1000003))
@@ -31,8 +33,26 @@ def test_hot_key_with_extra_columns(spark):
              .otherwise(F.exp((h % 100000) / 7000.0)))
     key = F.when(n % 10 < 7, "hot").when(n % 10 < 9, None).otherwise(F.concat(F.lit("k"), h % 5000))
     df = staged(spark.range(400_000).select(F.col("id").alias("Id"), key.alias("key"), value.cast("double").alias("v"),
-                                            F.sha2(n.cast("string"), 256).alias("extra"), F.lit("x").alias("_n")), "ranks")
+                                            F.sha2(n.cast("string"), 256).alias("extra"), F.lit("x").alias("_m")), "ranks")
+    assert _differences(df, "key", "v", "Id", hot_rows=hot_rows) == 0
+
+
+def test_equal_values_of_a_hot_key_spread(spark):
+    """400,000 equal values of one key: slices by the tie, ranks of the whole, no slice near the whole."""
+    df = staged(spark.range(400_000).selectExpr("id AS Id", "'all' AS key", "IF(id % 100 = 3, 2.0D, 1.0D) AS v"), "equal")
     assert _differences(df, "key", "v", "Id") == 0
+    hot = spark.createDataFrame([("all", 400_000)], "_key string, _n long")
+    cuts = _splitters(df, hot, "key", "v", "Id", 100_000).first()["_cuts"]
+    edges = [0, *[c["t"] for c in cuts if c["v"] == 1.0], 400_000]
+    assert len(cuts) >= 5 and max(b - a for a, b in zip(edges, edges[1:])) < 150_000
+
+
+def test_keys_that_are_all_null_or_repeated(spark):
+    df = spark.createDataFrame([(i % 50, "a" if i % 3 else "b", None if i % 3 == 0 else 1.0) for i in range(600)], "Id long, key string, v double")
+    a = group_rank(df, "key", "v", "Id", hot_rows=40)
+    got = sorted((r.key, r.g_ordinal) for r in a.filter("v IS NOT NULL").collect())
+    assert got == [("a", i) for i in range(1, 401)]
+    assert {(r.g_rank, r.g_count, r.g_min) for r in a.filter("v IS NULL").collect()} == {(None, 0, None)}
 
 
 def test_strings_and_integers(spark):
@@ -40,8 +60,9 @@ def test_strings_and_integers(spark):
     rows = [(i, rnd.choice(["a", "b", None]), rnd.choice([None, "", "a", "aa", "ab", "é", "zz" * rnd.randint(1, 3)]),
              rnd.choice([None, 0, -5, 5, rnd.randint(-10**12, 10**12)])) for i in range(500)]
     df = spark.createDataFrame(rows, "Id long, key string, s string, n long")
-    assert _differences(df, "key", "s", "Id") == 0
-    assert _differences(df, "key", "n", "Id") == 0
+    for hot_rows in (None, 60):
+        assert _differences(df, "key", "s", "Id", hot_rows=hot_rows) == 0
+        assert _differences(df, "key", "n", "Id", hot_rows=hot_rows) == 0
 
 
 def test_rank_semantics(spark):
@@ -53,13 +74,10 @@ def test_rank_semantics(spark):
     assert out[1].g_count == 4 and out[5].g_min == 10.0
 
 
-def test_building_the_plan_runs_no_job(spark):
-    df = spark.range(10).selectExpr("id AS Id", "id % 2 AS key", "double(id) AS v")
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("build", "build")
-    group_rank(df, "key", "v", "Id")
-    assert tracker.getJobIdsForGroup("build") in ([], ())
-    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+def test_small_keys_take_one_shuffle(spark):
+    df = staged(spark.range(1000).selectExpr("id AS Id", "id % 200 AS key", "double(id) AS v"), "small")
+    plan = group_rank(df, "key", "v", "Id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
 
 
 def test_split_of_a_heavy_bin(spark):
