@@ -62,7 +62,7 @@ def test_segmentation_round_trip_assigns_alike(spark, tmp_path):
 def test_ranker_round_trip_scores_alike(spark, tmp_path):
     opts = staged(option_features(candidates(spark, SF001), single_row_percentile=50.0), "test-options")
     model = train_lambdamart(opts, rounds=2, min_instances=5, max_bins=32)
-    assert any(c for c in model.categories.getInputCols() if c == "primary_carrier")
+    assert "primary_carrier" in model.binning.values
     model.save(str(tmp_path / "ranker"))
     loaded = LambdaMARTModel.load(str(tmp_path / "ranker"))
     unseen = opts.withColumn("primary_carrier", F.when(F.col("Id") % 2 == 0, "new").otherwise(F.col("primary_carrier")))
