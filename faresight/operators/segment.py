@@ -7,26 +7,24 @@ Scale notes
 * Robust-scaler quantiles are exact and interpolated, from distributed ranks
   over the stacked columns.
 * PCA fits a d×d covariance with a tree aggregate (d ≈ 70).
-* Clustering uses MLlib ``KMeans`` (k-means||, seeded), Gaussian mixtures or
-  bisecting k-means, swept and chosen by the squared-Euclidean silhouette.  The reference's agglomerative clustering and its
-  Euclidean silhouette need every pairwise distance, which this library does
-  not materialise.
-* Silhouette is exact for squared Euclidean distance via per-cluster sums
-  (Σy, Σ‖y‖², n): a table of k rows broadcast to every point.
-* Centroids for assignment are k × d numbers (k ≤ a few dozen): broadcast.
+* Clusterings of all sizes are fitted and scored together (``clustering``), DBSCAN
+  by balls and halos (``density``); segments are the best cut of seven linkage trees.
+* Silhouette is exact for squared Euclidean distance via per-cluster sums (Σy, Σ‖y‖², n).
+* Tables per label (statistics, centroids) are joined, never inlined into a plan.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+import numpy as np
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from faresight.operators import clustering, density
 from faresight.operators.group_rank import group_rank
 from faresight.schema import ENCODER_SKIP
 from faresight.sources.store import staged
@@ -176,24 +174,26 @@ def centroids(points: DataFrame, label: str = "cluster", vec: str = "features")
                      F.transform("sum_y", lambda s: s / F.col("n")).alias("centroid"))
 
 
-def _centroid_literal(cents: DataFrame, label: str):
-    rows = sorted(cents.select(label, "centroid").collect(), key=lambda r: r[0])  # k rows
-    labels = [r[0] for r in rows]
-    arr = F.array(*[F.array(*[F.lit(float(v)) for v in r[1]]) for r in rows])
-    return labels, arr
+def _array(points: DataFrame, vec: str):
+    return vector_to_array(F.col(vec)) if dict(points.dtypes)[vec] != "array<double>" else F.col(vec)
+
+
+def _all_rows(points: DataFrame, table: DataFrame) -> DataFrame:
+    """Every point with the rows of a table per label as the array ``_all``, a one-row side, however many labels.
+
+    The row is broadcast by Spark only below its threshold."""
+    return points.join(table.agg(F.sort_array(F.collect_list(F.struct(*table.columns))).alias("_all")))
 
 
 def nearest_centroid(points: DataFrame, cents: DataFrame, label: str = "cluster",
                      vec: str = "features", out: str = "customer_segment") -> DataFrame:
-    """Label of the nearest centroid (Euclidean, first wins ties) and the distance.
-    Centroids (k × d) are inlined as a literal – the broadcast is bounded by k·d."""
-    labels, carr = _centroid_literal(cents, label)
-    x = vector_to_array(F.col(vec)) if dict(points.dtypes)[vec] != "array<double>" else F.col(vec)
-    d2 = F.transform(carr, lambda cvec: F.aggregate(F.zip_with(x, cvec, lambda a, b: (a - b) * (a - b)),
-                                                     F.lit(0.0), lambda s, v: s + v))
-    pos = F.array_position(d2, F.array_min(d2))
-    lab = F.element_at(F.array(*[F.lit(v) for v in labels]), pos.cast("int"))
-    return points.select("*", lab.alias(out), F.sqrt(F.array_min(d2)).alias("min_distance"))
+    """Label of the nearest centroid (Euclidean, first wins ties) and the distance."""
+    table = cents.select(F.col(label).alias("_label"), "centroid")
+    x = _array(points, vec)
+    far = F.transform("_all", lambda c: F.struct(F.aggregate(F.zip_with(x, c["centroid"], lambda a, b: (a - b) * (a - b)),
+                                                             F.lit(0.0), lambda s, v: s + v).alias("d"), c["_label"].alias("l")))
+    return (_all_rows(points, table).withColumn("_near", F.array_min(far))
+            .select(*points.columns, F.col("_near.l").alias(out), F.sqrt("_near.d").alias("min_distance")))
 
 
 def silhouette_sq(points: DataFrame, label: str = "cluster", vec: str = "features",
@@ -201,123 +201,78 @@ def silhouette_sq(points: DataFrame, label: str = "cluster", vec: str = "feature
     """Exact mean silhouette with squared Euclidean distance.
 
     For point x and cluster C: Σ_{y∈C}‖x−y‖² = n_C‖x‖² − 2x·ΣC + Σ_C‖y‖².
-    a(x) uses n_C − 1 (x itself contributes 0); singleton clusters score 0."""
-    st = cluster_stats(points, label, vec, dim).collect()     # k rows
-    x = vector_to_array(F.col(vec)) if dict(points.dtypes)[vec] != "array<double>" else F.col(vec)
-    return (points.select(_silhouette_expr(x, F.col(label), st).alias("_s"))
-            .agg(F.avg("_s").alias("silhouette"), F.count(F.lit(1)).alias("points")))
-
-
-def _silhouette_expr(x, own, st):
-    """Squared-Euclidean silhouette of one point from the statistics of all clusters."""
-    xx = F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v)
-    dists, owns = [], []
-    for r in st:
-        dot = F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in r["sum_y"]]), lambda a, b: a * b),
-                          F.lit(0.0), lambda a, v: a + v)
-        # rounding can push a distance of 0 below it
-        total = F.greatest(F.lit(float(r["n"])) * xx - 2 * dot + F.lit(float(r["sum_sq"])), F.lit(0.0))
-        is_own = own == F.lit(r["_c"])
-        dists.append(F.when(~is_own, total / F.lit(float(r["n"]))))
-        owns.append(F.when(is_own, F.when(F.lit(r["n"]) > 1, total / F.lit(float(r["n"] - 1)))))
-    a = F.coalesce(*owns) if len(owns) > 1 else owns[0]
-    b = F.least(*dists) if len(dists) > 1 else dists[0]
+    a(x) uses n_C − 1 (x itself contributes 0); singleton clusters score 0.
+    The clusters' statistics are a joined table."""
+    x = _array(points, vec)
+    own = points.select(F.col(label).alias("_own"), x.alias("_x"), F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v).alias("_xx"))
+    dot = lambda c: F.aggregate(F.zip_with("_x", c["sum_y"], lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
+    # rounding can push a distance of 0 below it
+    far = F.transform("_all", lambda c: F.struct(c["_c"].alias("c"), c["n"].alias("n"), F.greatest(
+        c["n"] * F.col("_xx") - 2 * dot(c) + c["sum_sq"], F.lit(0.0)).alias("d")))
+    told = _all_rows(own, cluster_stats(points, label, vec, dim)).withColumn("_far", far)
+    a = F.get(F.transform(F.filter("_far", lambda c: (c["c"] == F.col("_own")) & (c["n"] > 1)), lambda c: c["d"] / (c["n"] - 1)), F.lit(0))
+    b = F.array_min(F.transform(F.filter("_far", lambda c: c["c"] != F.col("_own")), lambda c: c["d"] / c["n"]))
+    told = told.select(a.alias("_a"), b.alias("_b"))
     # points that coincide with everything score 0
-    return F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0))
-
-
-def _best(results):
-    """Highest score, the first of equal ones."""
-    return max(results, key=lambda r: r[1], default=None)
-
-
-def sweep(points: DataFrame, estimators: dict, vec: str = "features"):
-    """Fit every estimator and score its labels: (best name, best model, [(name, squared silhouette)]).
-
-    Labels of all fits are staged side by side; one job then gathers the
-    statistics of all clusterings and one scores them.  Fits that put all
-    points into one cluster are left out."""
-    points = points.persist()
-    for name, e in estimators.items():
-        if isinstance(e, GaussianMixture):
-            e.setProbabilityCol(f"_p_{name}")
-    models = {name: e.setFeaturesCol(vec).setPredictionCol(f"_c_{name}").fit(points) for name, e in estimators.items()}
-    labelled = points
-    for m in models.values():
-        labelled = m.transform(labelled)
-    labelled = staged(labelled.select(vector_to_array(F.col(vec)).alias("_y"), *[f"_c_{n}" for n in models]), "labels")
-    points.unpersist()
-    dim = len(labelled.first()["_y"])
-    stats = (labelled.select("_y", F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"_c_{n}").alias("_c"))
-                                                       for n in models])).alias("_m"))
-             .groupBy(F.col("_m.name").alias("name"), F.col("_m._c").alias("_c"))
-             .agg(F.count(F.lit(1)).alias("n"), F.array(*[F.sum(F.col("_y")[i]) for i in range(dim)]).alias("sum_y"),
-                  F.sum(F.aggregate("_y", F.lit(0.0), lambda a, x: a + x * x)).alias("sum_sq"))).collect()
-    by_name: dict = {}
-    for r in stats:
-        by_name.setdefault(r["name"], []).append(r)
-    scored = [n for n in models if len(by_name[n]) > 1]
-    if not scored:
-        return None, None, []
-    row = labelled.agg(*[F.avg(_silhouette_expr(F.col("_y"), F.col(f"_c_{n}"), by_name[n])).alias(n) for n in scored]).first()
-    results = [(n, float(row[n])) for n in scored]
-    name = _best(results)[0]
-    return name, models[name].setPredictionCol("cluster"), results
-
-
-def sweep_kmeans(points: DataFrame, ks, seed: int = 42, vec: str = "features"):
-    """KMeans per k; returns (best k, model, [(k, squared silhouette)])."""
-    name, model, results = sweep(points, {str(k): KMeans(k=k, seed=seed) for k in ks}, vec)
-    return int(name), model, [(int(n), s) for n, s in results]
-
-
-def gmm_sweep(points: DataFrame, ks, seed: int = 42, vec: str = "features"):
-    """GaussianMixture (full covariance) per k, best silhouette among fits with ≥ 2 labels."""
-    name, model, results = sweep(points, {str(k): GaussianMixture(k=k, seed=seed) for k in ks}, vec)
-    return (int(name) if name else None), model, [(int(n), s) for n, s in results]
+    score = F.coalesce(F.try_divide(F.col("_b") - F.col("_a"), F.greatest("_a", "_b")), F.lit(0.0))
+    return told.select(score.alias("_s")).agg(F.avg("_s").alias("silhouette"), F.count(F.lit(1)).alias("points"))
 
 
-def hierarchical_sweep(points: DataFrame, ks, seed: int = 42, vec: str = "features", distances=("euclidean", "cosine")):
-    """Divisive hierarchical clustering (bisecting k-means), the form of a
-    hierarchy that needs no pairwise distances, by Euclidean and by cosine distance.
-
-    Returns (best 'distance_k', model, [(name, squared silhouette)])."""
-    return sweep(points, {f"{d}_{k}": BisectingKMeans(k=k, seed=seed, distanceMeasure=d)
-                          for d in distances for k in ks}, vec)
-
-
-#: Sizes that the reference sweeps: mixtures (J7), alternative hierarchy (J9), hierarchy by several distances.
+#: Sizes that the reference sweeps: mixtures (J7), Ward alone (J9), seven linkages.
 GMM_KS = list(range(15, 41, 5))
 WARD_KS = list(range(10, 36, 5))
 HIERARCHY_KS = list(range(4, 17))
 
 
-def alternative_methods(points: DataFrame, ks, seed: int = 42, gmm_ks=GMM_KS, ward_ks=WARD_KS,
-                        hierarchy_ks=HIERARCHY_KS) -> list[tuple[str, str, float]]:
-    """(method, chosen setting, squared silhouette) of each family of clusterings, each over its own
-    sizes: k-means ``ks``, mixtures ``gmm_ks``, the Euclidean hierarchy of J9 ``ward_ks``, that of J12
-    ``hierarchy_ks`` by both distances."""
-    def euclidean(points, ks, seed):
-        return hierarchical_sweep(points, ks, seed, distances=("euclidean",))
+def sweep_kmeans(points: DataFrame, ks, seed: int = 42, vec: str = "features"):
+    """All k-means sizes together: (best k, its centres, [(k, squared silhouette)])."""
+    fitted, scores = clustering.sweep_all(clustering.as_points(points, vec), kmeans_ks=ks, seed=seed)
+    results = [(k, scores[f"kmeans:{k}"]) for k in ks if f"kmeans:{k}" in scores]
+    name = clustering.best(scores)
+    return (int(name.split(":")[1]) if name else None), (fitted.kmeans[name] if name else None), results
+
+
+def linkage_segments(points: DataFrame, ks=None, seed: int = 42, vec: str = "features"):
+    """The best cut of seven linkage trees, (setting, centroids, [(setting, squared silhouette)]).
+
+    Centroids: (cluster, n, centroid), renumbered by ``ordered_labels``.  Where no
+    cut gives two clusters, as with fewer than two places, all points are one."""
+    found, scores = clustering.sweep_all(clustering.as_points(points, vec), linkage_ks=ks or HIERARCHY_KS, seed=seed)
+    name = clustering.best(scores)
+    label = found.cuts[name] if name else np.zeros(len(found.micro.n) if found.micro else 0, dtype=int)
+    rows = []
+    for c in np.unique(label):
+        mine = label == c
+        n = found.micro.n[mine]
+        rows.append((int(c), int(n.sum()), [float(v) for v in (n[:, None] * found.micro.centre[mine]).sum(0) / n.sum()]))
+    cents = points.sparkSession.createDataFrame(ordered_labels(rows), "cluster int, n long, centroid array<double>")
+    return name, cents, list(scores.items())
+
 
+def alternative_methods(points: DataFrame, ks, seed: int = 42, gmm_ks=GMM_KS, ward_ks=WARD_KS,
+                        hierarchy_ks=HIERARCHY_KS, key: str = "profileId") -> list[tuple[str, str, float]]:
+    """(method, chosen setting, squared silhouette) of each family over its own sizes: k-means ``ks``,
+    mixtures ``gmm_ks``, DBSCAN by radius, Ward ``ward_ks``, seven linkages ``hierarchy_ks``.  Families
+    without a setting of two clusters or more are left out."""
+    placed = staged(points.select(key, _array(points, "features").alias("x")), "points")
+    _, scores = clustering.sweep_all(placed.select("x"), ks, gmm_ks, ward_ks, hierarchy_ks, seed)
+    scores |= density.dbscan_sweep(placed, key, "x")
     out = []
-    for method, fit, sizes in (("kmeans", sweep_kmeans, ks), ("gmm", gmm_sweep, gmm_ks),
-                               ("hierarchical", hierarchical_sweep, hierarchy_ks),
-                               ("hierarchical_euclidean", euclidean, ward_ks)):
-        name, _, results = fit(points, sizes, seed)
+    for method in ("kmeans", "gmm", "dbscan", "ward", "linkage"):
+        name = clustering.best({n: s for n, s in scores.items() if n.startswith(f"{method}:")})
         if name is not None:
-            out.append((method, str(name), _best(results)[1]))
+            out.append((method, name.split(":")[1], scores[name]))
     return out
 
 
-def ordered_labels(cents: DataFrame, label: str = "cluster") -> DataFrame:
-    """Centroids renumbered from 0 by size (largest first), then by centroid, so that
-    labels do not depend on where a fit started.  One row per cluster."""
-    place = F.row_number().over(Window.orderBy(F.desc("n"), "centroid")) - 1
-    return cents.withColumn(label, place)
+def ordered_labels(rows: list[tuple[int, int, list[float]]]) -> list[tuple[int, int, list[float]]]:
+    """Clusters (label, n, centroid) renumbered from 0 by size (largest first), then by centroid, so that
+    labels do not depend on where a fit started."""
+    return [(i, n, c) for i, (_, n, c) in enumerate(sorted(rows, key=lambda r: (-r[1], r[2])))]
 
 
 # ------------------------------------------------------------------ reports
+#: Output names of the report.
 PROFILE_MEANS = [
     ("total_flights_searched", "avg_flights_searched"), ("is_vip", "vip_rate"),
     ("roundtrip_preference", "roundtrip_rate"), ("avg_booking_lead_days", "avg_lead_days"),
@@ -341,6 +296,7 @@ def label_distribution(labels: DataFrame, label: str = "customer_segment") -> Da
     return labels.groupBy(label).agg(F.count(F.lit(1)).alias("customers")).orderBy(label)
 
 
+#: Output names of the report.
 SEGMENT_MEANS = [
     ("total_flights_searched", "avg_flights_searched"), ("total_search_sessions", "avg_search_sessions"),
     ("avg_searches_per_session", "avg_searches_per_session"), ("unique_routes_searched", "avg_unique_routes"),

@@ -97,7 +97,7 @@ def q_combined_features(spark, sf_dir):
     from faresight.operators.customers import customer_features
     from faresight.operators.options import option_features
     from faresight.plans.oracle_options import combined_kinds
-    cand = candidates(spark, sf_dir)
+    cand = staged(candidates(spark, sf_dir), "candidates")
     comb = combine(option_features(cand, single_row_percentile=50.0), customer_features(cand))
     return finalize(comb, combined_kinds())
 
@@ -287,14 +287,14 @@ def reduced_customers(cust: DataFrame, variance: float = 0.95):
 
 
 def fit_segmentation(cust: DataFrame, ks=None, seed: int = 42, contamination: float = OUTLIER_SHARE):
-    """Remove outliers, encode, scale, reduce, sweep, centroids.
+    """Remove outliers, encode, scale, reduce, linkage trees, centroids.
 
     Returns (inlier customers, their reduced features, fitted ``Segmentation``)."""
     cleaned, _ = remove_outliers(staged(cust, "customers"), contamination)
     cleaned = staged(cleaned, "inliers")
     reduced, (enc, params, pca) = reduced_customers(cleaned)
-    _, model, _ = SG.sweep_kmeans(reduced, ks or SWEEP_KS, seed)
-    cents = staged(SG.ordered_labels(SG.centroids(model.transform(reduced), "cluster")), "centroids")
+    _, cents, _ = SG.linkage_segments(reduced, ks or SG.HIERARCHY_KS, seed)
+    cents = staged(cents, "centroids")
     return cleaned, reduced, Segmentation(enc, params, pca, cents)
 
 
@@ -538,7 +538,7 @@ def q_customer_scaling(spark, sf_dir):
 
 @register("clustering_methods")
 def q_clustering_methods(spark, sf_dir):
-    """Best squared silhouette of k-means, Gaussian mixtures and a divisive hierarchy, each over its own sizes."""
+    """Best squared silhouette of k-means, mixtures, DBSCAN, Ward and seven linkages, each over its own sizes."""
     cleaned, _ = remove_outliers(staged(_cust(spark, sf_dir), "customers"), OUTLIER_SHARE)
     reduced, _ = reduced_customers(cleaned)
     rows = SG.alternative_methods(reduced, SWEEP_KS)

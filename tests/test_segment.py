@@ -43,20 +43,19 @@ def test_every_family_sweeps_its_own_sizes(spark, monkeypatch):
     from faresight.plans import catalog
     seen = {}
 
-    def note(points, estimators, vec="features"):
-        kind = type(next(iter(estimators.values()))).__name__
-        seen.setdefault(kind, []).append(list(estimators))
-        return next(iter(estimators)), estimators[next(iter(estimators))], [(n, 0.0) for n in estimators]
+    def note(points, kmeans_ks=(), gmm_ks=(), ward_ks=(), linkage_ks=(), seed=42):
+        seen.update(kmeans=list(kmeans_ks), gmm=list(gmm_ks), ward=list(ward_ks), linkage=list(linkage_ks))
+        return None, {"kmeans:4": 0.1, "gmm:15": 0.2, "ward:10": 0.3, "linkage:ward_euclidean_4": 0.4}
 
-    monkeypatch.setattr(SG, "sweep", note)
+    df, *_ = _blobs(spark)
+    monkeypatch.setattr(SG.clustering, "sweep_all", note)
+    monkeypatch.setattr(SG.density, "dbscan_sweep", lambda *a: {"dbscan:0.5": 0.5, "dbscan:0.7": 0.6})
     monkeypatch.setattr(catalog, "_cust", lambda *a: None)
     monkeypatch.setattr(catalog, "staged", lambda df, name: df)
     monkeypatch.setattr(catalog, "remove_outliers", lambda *a: (None, None))
-    monkeypatch.setattr(catalog, "reduced_customers", lambda c: (None, None))
+    monkeypatch.setattr(catalog, "reduced_customers", lambda c: (df.withColumnRenamed("id", "profileId"), None))
     rows = catalog.q_clustering_methods(spark, "").collect()
-    j12 = [str(k) for k in range(4, 17)]
-    assert seen["KMeans"] == [j12]
-    assert seen["GaussianMixture"] == [["15", "20", "25", "30", "35", "40"]]
-    assert seen["BisectingKMeans"] == [[f"{d}_{k}" for d in ("euclidean", "cosine") for k in j12],
-                                       [f"euclidean_{k}" for k in range(10, 36, 5)]]
-    assert [r.method for r in rows] == ["kmeans", "gmm", "hierarchical", "hierarchical_euclidean"]
+    j12 = list(range(4, 17))
+    assert seen == {"kmeans": j12, "gmm": [15, 20, 25, 30, 35, 40], "ward": list(range(10, 36, 5)), "linkage": j12}
+    assert [(r.method, r.setting) for r in rows] == [("kmeans", "4"), ("gmm", "15"), ("dbscan", "0.7"), ("ward", "10"),
+                                                     ("linkage", "ward_euclidean_4")]
