@@ -87,3 +87,20 @@ def test_names():
 
 def test_renamed_frame(spark):
     assert with_snake_case_columns(spark.range(1).withColumnRenamed("id", "rankerId")).columns == ["ranker_id"]
+
+
+def test_a_stage_of_other_input_or_parameters_is_rebuilt(spark, tmp_path):
+    source, path = str(tmp_path / "source"), str(tmp_path / "stage")
+    spark.range(3).write.parquet(source)
+    built = []
+
+    def stage(**parameters):
+        def build():
+            built.append(parameters)
+            return spark.read.parquet(source)
+        return load_or_build(spark, path, build, ["id"], inputs=[source], parameters=parameters).count()
+
+    assert stage(k=1) == 3 and stage(k=1) == 3 and len(built) == 1
+    assert stage(k=2) == 3 and len(built) == 2
+    spark.range(5).write.mode("append").parquet(source)
+    assert stage(k=2) == 8 and len(built) == 3 and stage(k=2) == 8 and len(built) == 3
