@@ -25,7 +25,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 START, MESSAGE, END = "<|start|>", "<|message|>", "<|end|>"
@@ -131,10 +131,38 @@ def _render_sorted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_pylist(rows, schema=_FORMATTED_ARROW)
 
 
+#: Code points of a streamed piece, and pieces of a text at most.
+DELTA_CHARS = 64
+MAX_DELTAS = 32
+#: Events of a message have sequence numbers in a range of this size.
+_STEPS = 1 << 8
+
+
 def turns_as_events(turns: DataFrame) -> DataFrame:
-    """A table of finished turns (conv_id, turn, role, text) as an event log: each row opens a message."""
-    return turns.select("conv_id", F.col("turn").alias("seq"), F.lit("open").alias("kind"),
-                        F.col("turn").alias("message"), "role", "text")
+    """A table of finished turns (conv_id, turn, role, text) as the event log of a chat service.
+
+    Messages follow each other by turn (null first), role and text; a row is a
+    message.  A text arrives in pieces: its first opens the message, deltas
+    bring the rest.  By a hash of (conv_id, turn), a third of the messages
+    arrive as a wrong draft that an edit replaces, and a third stop half-way
+    with a wrong ending and are generated again.
+    """
+    by_conv = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    text, n = F.coalesce(F.col("text"), F.lit("")), F.char_length("_text")
+    size = F.greatest(F.lit(DELTA_CHARS), F.ceil(n / MAX_DELTAS)).cast("int")
+    step = "named_struct('kind', {0}, 'text', {1})".format
+    pieces = F.expr("transform(sequence(0, int(ceil(greatest(char_length(_text), 1) / _size)) - 1), "
+                    f"i -> {step('IF(i = 0, _first, ' + repr('delta') + ')', 'substring(_text, i * _size + 1, _size)')})")
+    edited = F.expr(f"array({step(repr('open'), 'concat(' + repr('draft ') + ', reverse(_text))')}, {step(repr('edit'), '_text')})")
+    stopped = F.expr(f"array({step(repr('open'), 'substring(_text, 1, _size)')}, {step(repr('delta'), repr(' wrong ending'))})")
+    way = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(3))
+    return (turns.select("conv_id", "turn", "role", "text").withColumn("_place", F.row_number().over(by_conv).cast("long"))
+            .withColumn("_text", text).withColumn("_size", size).withColumn("_way", way)
+            .withColumn("_first", F.when(F.col("_way") == 2, "regenerate").otherwise("open"))
+            .withColumn("_steps", F.when(F.col("_way") == 1, edited).when(F.col("_way") == 2, F.concat(stopped, pieces)).otherwise(pieces))
+            .select("conv_id", F.col("_place").alias("message"), "role", F.posexplode("_steps").alias("_step", "_event"))
+            .select("conv_id", (F.col("message") * _STEPS + F.col("_step")).alias("seq"), F.col("_event.kind").alias("kind"),
+                    "message", "role", F.col("_event.text").alias("text")))
 
 
 def format_conversations(events: DataFrame) -> DataFrame:
@@ -175,3 +203,19 @@ def _digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of formatted conversations, computed from the output alone."""
     return formatted.select("conv_id", "formatted", "loss_spans").mapInArrow(_digest, _DIGEST_SCHEMA)
+
+
+#: The registered query in SQL for DuckDB, over a table ``conversations`` and the hostile conversation -7.
+ORACLE_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, length(role) + len(regexp_extract_all(role, '\\|<\||</s>|<s>|\[/INST\]|\[INST\]|<</SYS>>|<<SYS>>')) AS role_chars,
+         length(text) + len(regexp_extract_all(text, '\\|<\||</s>|<s>|\[/INST\]|\[INST\]|<</SYS>>|<<SYS>>')) AS text_chars FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|start|><|message|><|end|>') + role_chars + text_chars)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id"""

@@ -409,3 +409,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     nameless = (keyed.filter(F.col("doc").isNull()).mapInArrow(lambda b: _describe(b, size, percent), _SETS)
                 .filter("token IS NULL").select("doc", "n", F.lit(None).cast("long")))
     return out.union(nameless)
+
+
+#: The registered query in SQL for DuckDB, over a table ``documents`` with one row per id.
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i+2], ' '))
+                                      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 90 * (p.n + q.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.b) AS component_id
+FROM documents d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY ALL"""

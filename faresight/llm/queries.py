@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.llm import lexical, line_spread, negatives
+from faresight.llm import chat, jaccard_join, lexical, line_spread, negatives, substring_dedup
 from faresight.llm.chat import format_conversations, read_back, turns_as_events
 from faresight.llm.common import shared_path
 from faresight.llm.jaccard_join import jaccard_components
@@ -14,8 +14,8 @@ from faresight.llm.mixing import mix_sources
 from faresight.llm.packing import pack_documents
 from faresight.llm.quality import quality_rules
 from faresight.llm.sharding import shard_documents, uniform_tree
-from faresight.llm.syncmers import fingerprint_edits
 from faresight.llm.substring_dedup import remove_repeated_passages
+from faresight.llm.syncmers import fingerprint_edits
 from faresight.llm.token_files import read_token_files, write_token_files
 from faresight.llm.tokens import vocabulary_path
 from faresight.sources.tables import read_table
@@ -102,7 +102,10 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_event_chat": chat.ORACLE_SQL,
+    "op6_suffix_automata": substring_dedup.ORACLE_SQL,
     "op7_line_spread": line_spread.ORACLE_SQL,
+    "op8_set_relations": jaccard_join.ORACLE_SQL,
     "op12_dual_tree": lexical.ORACLE_SQL,
     "op13_shared_lists": negatives.ORACLE_SQL,
 }

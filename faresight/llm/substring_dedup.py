@@ -344,3 +344,17 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     schema = _RESULT + (", kept_text string" if with_text else "")
     return (keyed.join(spans, ["doc", "version"], "left").select("doc", "text", "spans")
             .mapInArrow(lambda b: _remove(b, window, with_text), schema))
+
+
+#: The registered query in SQL for DuckDB, over a table ``documents`` with one row per id.
+ORACLE_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY md5(array_to_string(ws[i:i+49], ' '))) AS first_doc FROM p),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM f WHERE first_doc < doc_id),
+word AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+k AS (
+  SELECT doc_id, count(*) FILTER (gone.i IS NOT NULL) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone.i IS NULL) AS kept
+  FROM word LEFT JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)"""

@@ -53,3 +53,27 @@ def test_escape_round_trip(text):
 
 def test_empty_log(spark):
     assert read_back(format_conversations(spark.createDataFrame([], EVENTS))).collect() == []
+
+
+def test_log_of_turns_holds_every_kind_and_folds_back(spark):
+    """Deltas, edits and regenerations all occur, and the digests are those of the finished turns."""
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    from faresight.llm.chat import format_conversations, read_back, turns_as_events
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"text {c} {t} é漢\\ <|x|> " * (1 + (c * t) % 40)) for c in range(30) for t in range(6)]
+    rows += [(40, 0, "user", None), (40, 1, "assistant", ""), (41, None, "user", "no turn"), (41, 1, "assistant", "a"), (41, 1, "assistant", "a")]
+    turns = spark.createDataFrame([(*r, 1, "x") for r in rows], "conv_id long, turn long, role string, text string, seq int, kind string")
+    log = turns_as_events(turns)
+    kinds = {r["kind"]: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert set(kinds) == {"open", "delta", "edit", "regenerate"} and min(kinds.values()) > 20
+    got = {r.conv_id: r for r in read_back(format_conversations(log.orderBy(F.xxhash64("seq", "conv_id")))).collect()}
+    for conv in {r[0] for r in rows}:
+        mine = sorted([r for r in rows if r[0] == conv], key=lambda r: (-1 if r[1] is None else r[1], r[2], r[3] or ""))
+        said = "".join(f"{r[2]}\n{r[3] or ''}\n" for r in mine)
+        loss = "".join(r[3] or "" for r in mine if r[2] == "assistant")
+        g = got[conv]
+        assert g.n_turns == len(mine) and g.turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
+        assert g.loss_chars == len(loss) and g.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    assert turns_as_events(turns.filter("false")).count() == 0
