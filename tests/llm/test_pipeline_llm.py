@@ -57,6 +57,6 @@ def test_stages_and_run(spark, check_dir):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     import __spark_entry__ as entry
     assert entry.queries()["pipeline"] is pipeline.run and set(entry.oracle_sql()) <= set(entry.queries())
