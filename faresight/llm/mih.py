@@ -9,13 +9,14 @@ floor(r / substrings) bits in at least one substring, so the buckets within
 that many bits hold every code within r.  Their rows are checked against the
 full radius and reranked on the original floats.
 
-The radius is read off the sample: the Hamming distance that covers
-``RADIUS_COVERAGE`` of the sample's true neighbours.  Neighbours in the whole
-table are nearer than in a sample, so the radius errs to the wide side.
-
-Queries are searched in blocks of bounded size against all rows.  The radius is
-one for all queries: those that it leaves short of k rows are searched again
-with a growing one, at last with all bits, which holds every row.
+Every query has a radius of its own.  The sample's codes travel with the search:
+a query's radius is the Hamming distance of the sample's k-th nearest code plus
+a margin, which covers how much farther in Hamming distance than that
+``MARGIN_COVERAGE`` of the sample's true neighbours lie.  Neighbours in the
+whole table are nearer than in the sample, so radii err to the wide side, and
+k sample rows lie within each: no query is left short.
+
+Queries are searched in blocks of bounded size against all rows.
 """
 
 from __future__ import annotations
@@ -31,16 +32,16 @@ from pyspark.sql import functions as F
 
 from faresight.llm.common import materialize
 
-#: Vectors the rotation and the radius are fitted on, at most (by smallest id hash); all are indexed.
+#: Vectors the rotation and the margin are fitted on, at most (by smallest id hash); all are indexed.
 FIT_ROWS = 10_000
 FIT_QUERIES = 500
 FIT_ROUNDS = 30
 BITS = 64
 SUBSTRINGS = 4
-RADIUS_COVERAGE = 0.98
+MARGIN_COVERAGE = 0.98
 #: Queries sent to the tasks at once.
 QUERY_BLOCK = 4096
-#: Rows that are searched together, and queries held against them at a time.
+#: Rows that are searched together, and queries whose codes are compared with the sample's at a time.
 SHARD_ROWS = 8192
 QUERY_SLICE = 64
 SEED = 2
@@ -48,11 +49,13 @@ SEED = 2
 
 @dataclass
 class Codes:
-    """A learned code: ``bits`` signs of rotated, centred vectors, and the search radius."""
+    """A learned code: ``bits`` signs of rotated, centred vectors; the sample's ids and codes, and the margin."""
 
     mean: np.ndarray
     projection: np.ndarray
-    radius: int
+    ids: np.ndarray
+    sample: np.ndarray
+    margin: int
 
     @property
     def dim(self) -> int:
@@ -62,9 +65,23 @@ class Codes:
         signs = (x - self.mean) @ self.projection > 0
         return np.packbits(signs, axis=1, bitorder="little").view("<u8")[:, 0]
 
+    def kth(self, ids: np.ndarray, codes: np.ndarray, k: int) -> np.ndarray:
+        """Hamming distance of the k-th nearest sample code of another id; all bits where there is none."""
+        out = np.full(len(ids), BITS, dtype=np.int64)
+        for a in range(0, len(ids) if len(self.ids) > k else 0, QUERY_SLICE):
+            part = slice(a, a + QUERY_SLICE)
+            far = np.bitwise_count(codes[part, None] ^ self.sample[None, :]).astype(np.int64)
+            far[ids[part, None] == self.ids[None, :]] = BITS
+            out[part] = np.partition(far, k - 1, axis=1)[:, k - 1]
+        return out
+
+    def radii(self, ids: np.ndarray, codes: np.ndarray, k: int) -> np.ndarray:
+        """The search radius of each query."""
+        return np.minimum(BITS, self.kth(ids, codes, k) + self.margin)
+
 
-def fit_codes(sample: np.ndarray, k: int) -> Codes:
-    """Rotation and radius from sample rows (float64)."""
+def fit_codes(ids: np.ndarray, sample: np.ndarray, k: int) -> Codes:
+    """Rotation and margin from sample rows (float64)."""
     rng = np.random.default_rng(SEED)
     dim = sample.shape[1]
     mean = sample.mean(axis=0)
@@ -79,40 +96,62 @@ def fit_codes(sample: np.ndarray, k: int) -> Codes:
             u, _, vt = np.linalg.svd(np.where(flat @ rotation > 0, 1.0, -1.0).T @ flat)
             rotation = (u @ vt).T
         parts.append(axes[:width].T @ rotation)
-    codes = Codes(mean, np.concatenate(parts, axis=1)[:, :BITS], BITS)
-    if len(sample) > 20 * k:
-        code = codes.encode(sample)
-        found = []
-        for q in rng.choice(len(sample), min(FIT_QUERIES, len(sample)), replace=False):
-            far = ((sample - sample[q]) ** 2).sum(axis=1)
-            far[q] = np.inf
-            near = np.argpartition(far, k)[:k]
-            found.append(np.bitwise_count(code[near] ^ code[q]))
-        codes.radius = int(np.quantile(np.concatenate(found), RADIUS_COVERAGE, method="higher"))
+    codes = Codes(mean, np.concatenate(parts, axis=1)[:, :BITS], ids, np.empty(0, np.uint64), BITS)
+    codes.sample = codes.encode(sample)
+    asked = rng.choice(len(sample), min(FIT_QUERIES, len(sample)), replace=False)
+    kth = codes.kth(ids[asked], codes.sample[asked], k)
+    beyond = []
+    for q, limit in zip(asked, kth, strict=True):
+        far = ((sample - sample[q]) ** 2).sum(axis=1)
+        far[ids == ids[q]] = np.inf
+        near = np.argsort(far, kind="stable")[:k]
+        beyond.append(np.bitwise_count(codes.sample[near[far[near] < np.inf]] ^ codes.sample[q]).astype(np.int64) - limit)
+    beyond = np.concatenate(beyond)
+    codes.margin = max(0, int(np.quantile(beyond, MARGIN_COVERAGE, method="higher"))) if len(beyond) else BITS
     return codes
 
 
+#: All patterns of a substring, by number of bits; ``_UP_TO[p]`` of them have p bits or fewer.
+_WIDTH = BITS // SUBSTRINGS
+_FLIPS = np.argsort(np.bitwise_count(np.arange(1 << _WIDTH, dtype=np.uint64)), kind="stable")
+_UP_TO = [sum(math.comb(_WIDTH, i) for i in range(p + 1)) for p in range(_WIDTH + 1)]
+
+
 class Substrings:
     """Bucket tables of the codes' substrings for one shard of rows."""
 
     def __init__(self, codes: np.ndarray):
-        width = BITS // SUBSTRINGS
-        self.shifts = [np.uint64(i * width) for i in range(SUBSTRINGS)]
-        self.mask = np.uint64((1 << width) - 1)
         self.codes = codes
-        self.tables = [np.unique((codes >> s) & self.mask, return_inverse=True) for s in self.shifts]
-
-    def within(self, queries: np.ndarray, radius: int) -> np.ndarray:
-        """Boolean (query, row): exactly the rows whose code lies within ``radius``."""
-        probe = radius // SUBSTRINGS
-        seen = np.zeros((len(queries), len(self.codes)), dtype=bool)
-        for shift, (buckets, row_bucket) in zip(self.shifts, self.tables, strict=True):
-            sub = (queries >> shift) & self.mask
-            seen |= (np.bitwise_count(sub[:, None] ^ buckets[None, :]) <= probe)[:, row_bucket]
-        q, r = np.nonzero(seen)
-        far = np.bitwise_count(queries[q] ^ self.codes[r]) > radius
-        seen[q[far], r[far]] = False
-        return seen
+        self.tables = []
+        for i in range(SUBSTRINGS):
+            shift = np.uint64(i * _WIDTH)
+            sub = ((codes >> shift) & np.uint64((1 << _WIDTH) - 1)).astype(np.int64)
+            rows = np.argsort(sub, kind="stable")
+            buckets, starts = np.unique(sub[rows], return_index=True)
+            self.tables.append((shift, buckets, np.append(starts, len(rows)), rows))
+
+    def within(self, query: np.uint64, radius: int) -> np.ndarray:
+        """Ascending rows: exactly those whose code lies within ``radius`` of the query's.
+
+        Buckets are probed by flipping bits, or picked from the list of those
+        in use where they are fewer than the flips: the same buckets.
+        """
+        probe = min(_WIDTH, radius // SUBSTRINGS)
+        seen = np.zeros(len(self.codes), dtype=bool)
+        for shift, buckets, starts, rows in self.tables:
+            sub = int(query >> shift) & (1 << _WIDTH) - 1
+            if _UP_TO[probe] < len(buckets):
+                wanted = sub ^ _FLIPS[:_UP_TO[probe]]
+                at = np.minimum(np.searchsorted(buckets, wanted), len(buckets) - 1)
+                hit = at[buckets[at] == wanted]
+            else:
+                hit = np.nonzero(np.bitwise_count(buckets ^ sub) <= probe)[0]
+            lengths = starts[hit + 1] - starts[hit]
+            if len(hit):
+                skip = np.repeat(starts[hit] - (np.cumsum(lengths) - lengths), lengths)
+                seen[rows[skip + np.arange(len(skip))]] = True
+        found = np.nonzero(seen)[0]
+        return found[np.bitwise_count(self.codes[found] ^ query) <= radius]
 
 
 def _valid(vector: Column, dim: int | None = None) -> Column:
@@ -136,40 +175,28 @@ def _encode(batches: Iterable[pa.RecordBatch], codes: Codes) -> Iterator[pa.Reco
                                              ["vec_id", "code", "vector"])
 
 
-def wider(radius: int) -> int:
-    """The next radius for queries that ``radius`` leaves short."""
-    return min(BITS, 2 * radius + 4)
-
-
-def _search(batches: Iterable[pa.RecordBatch], codes: Codes, radius: int, q_ids: np.ndarray, q_vectors: np.ndarray,
+def _search(batches: Iterable[pa.RecordBatch], codes: Codes, radii: np.ndarray, q_ids: np.ndarray, q_vectors: np.ndarray,
             k: int) -> Iterator[pa.RecordBatch]:
-    """The k nearest rows within ``radius`` of this task for each query of the block."""
+    """The k nearest retrieved rows of this task for each query of the block; floats are read of retrieved rows only."""
     q_codes = codes.encode(q_vectors)
-    q_norm = (q_vectors ** 2).sum(axis=1)
     best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0))] * len(q_ids)
 
     def shard(ids: np.ndarray, code: np.ndarray, x: np.ndarray) -> None:
-        tables, norm = Substrings(code), (x ** 2).sum(axis=1)
-        for a in range(0, len(q_ids), QUERY_SLICE):
-            qs = slice(a, a + QUERY_SLICE)
-            seen = tables.within(q_codes[qs], radius)
-            seen &= ids[None, :] != q_ids[qs, None]
-            rough = q_norm[qs, None] + norm[None, :] - 2 * (q_vectors[qs] @ x.T)
-            rough[~seen] = np.inf
-            slack = 1e-9 * (q_norm[qs] + norm.max())
-            if rough.shape[1] > k:
-                limit = np.partition(rough, k - 1, axis=1)[:, k - 1] + slack
-            else:
-                limit = np.full(len(rough), np.inf)
-            for i in range(len(rough)):
-                rows = np.nonzero((rough[i] <= limit[i]) & seen[i])[0]
-                if not len(rows):
-                    continue
-                score = np.sqrt(((x[rows] - q_vectors[a + i]) ** 2).sum(axis=1))
-                all_ids = np.concatenate((best[a + i][0], ids[rows]))
-                all_scores = np.concatenate((best[a + i][1], score))
-                keep = np.lexsort((all_ids, all_scores))[:k]
-                best[a + i] = (all_ids[keep], all_scores[keep])
+        tables = Substrings(code)
+        for i, query in enumerate(q_codes):
+            rows = tables.within(query, int(radii[i]))
+            rows = rows[ids[rows] != q_ids[i]]
+            if not len(rows):
+                continue
+            apart = x[rows] - q_vectors[i]
+            score = np.sqrt((apart ** 2).sum(axis=1))
+            if len(rows) > k:
+                near = score <= np.partition(score, k - 1)[k - 1]
+                rows, score = rows[near], score[near]
+            all_ids = np.concatenate((best[i][0], ids[rows]))
+            all_scores = np.concatenate((best[i][1], score))
+            keep = np.lexsort((all_ids, all_scores))[:k]
+            best[i] = (all_ids[keep], all_scores[keep])
 
     held: list[pa.RecordBatch] = []
 
@@ -216,13 +243,14 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec
     usable = rows.filter(_valid(F.col("vector")))
     share = min(1.0, 1.1 * fit_rows / max(1, usable.count()))
     part = F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.lit(1 << 20)) < math.ceil(share * (1 << 20))
-    sample = [r["vector"] for r in usable.filter(part).select("vec_id", "vector")
+    sample = [(r["vec_id"], r["vector"]) for r in usable.filter(part).select("vec_id", "vector")
               .orderBy(F.xxhash64("vec_id", F.lit(SEED)), "vec_id", "vector").limit(fit_rows).collect()]
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sizes = [len(v) for v in sample]
+    sizes = [len(v) for _, v in sample]
     dim = max(set(sizes), key=lambda s: (sizes.count(s), -s))
-    codes = fit_codes(np.array([v for v in sample if len(v) == dim], dtype=np.float64), k)
+    sample = [(i, v) for i, v in sample if len(v) == dim]
+    codes = fit_codes(np.array([i for i, _ in sample], dtype=np.int64), np.array([v for _, v in sample], dtype=np.float64), k)
     valid = rows.filter(_valid(F.col("vector"), dim))
     index = materialize(valid.select("vec_id", "vector").mapInArrow(
         lambda b: _encode(b, codes),
@@ -234,22 +262,12 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec
     for block in _blocks(asked, n_blocks):
         q_ids = np.array([r["vec_id"] for r in block], dtype=np.int64)
         q_vectors = np.array([r["vector"] for r in block], dtype=np.float64)
-        radius = codes.radius
-        while len(q_ids):
-            part = index.mapInArrow(lambda b, radius=radius, q_ids=q_ids, q_vectors=q_vectors:
-                                    _search(b, codes, radius, q_ids, q_vectors, k), out)
-            part = materialize(part.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k), "mih-found")
-            # the k-th row of a query says that it is full; at most a block of ids
-            full = [r["query_id"] for r in part.filter(F.col("rank") == k).select("query_id").collect()]
-            short = ~np.isin(q_ids, np.array(full, dtype=np.int64))
-            if short.any() and radius < BITS:
-                enough = part.filter(F.col("rank") == k).select("query_id")
-                part = part.join(enough, "query_id", "left_semi")
-            else:
-                short[:] = False
-            part = part.select("query_id", "rank", "vec_id", "score")
-            found = part if found is None else found.unionByName(part)
-            q_ids, q_vectors, radius = q_ids[short], q_vectors[short], wider(radius)
+        radii = codes.radii(q_ids, codes.encode(q_vectors), k)
+        part = index.mapInArrow(lambda b, radii=radii, q_ids=q_ids, q_vectors=q_vectors:
+                                _search(b, codes, radii, q_ids, q_vectors, k), out)
+        part = materialize(part.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k), "mih-found")
+        part = part.select("query_id", "rank", "vec_id", "score")
+        found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     return found

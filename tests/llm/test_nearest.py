@@ -70,23 +70,53 @@ def test_probing_finds_every_code_within_the_radius():
     codes = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
     codes[:500] = codes[0] ^ (np.uint64(1) << rng.integers(0, 63, 500, dtype=np.uint64))
     tables = Substrings(codes)
-    for radius in (0, 3, 17, 26, 64):
-        assert (tables.within(codes[:20], radius) == (np.bitwise_count(codes[:20, None] ^ codes[None, :]) <= radius)).all()
+    for radius in (0, 3, 9, 17, 26, 63, 64):
+        for query in codes[:20]:
+            assert (tables.within(query, radius) == np.nonzero(np.bitwise_count(codes ^ query) <= radius)[0]).all()
 
 
 def test_learned_rotation_beats_a_random_one():
     rng = np.random.default_rng(5)
     x = rng.normal(size=(3000, 64)) * np.linspace(3, 0.2, 64)
-    learned = fit_codes(x, 10)
-    assert learned.projection.shape == (64, 64) and 0 < learned.radius < 64
+    learned = fit_codes(np.arange(3000), x, 10)
+    assert learned.projection.shape == (64, 64) and 0 < learned.margin < 64
     q = x[0]
     near = np.argsort(((x - q) ** 2).sum(axis=1))[1:11]
     far = np.bitwise_count(learned.encode(x) ^ learned.encode(x[:1])[0])
     assert far[near].mean() < far.mean() - 5
 
 
+def test_radii_follow_the_sample_around_each_query():
+    """k sample rows lie within each radius; rows with the query's id do not count."""
+    rng = np.random.default_rng(7)
+    ids = np.arange(400)
+    ids[:30] = 0
+    x = rng.normal(size=(400, 16))
+    x[:30] = x[0]
+    codes = fit_codes(ids, x, 10)
+    code = codes.encode(x)
+    for i, r in enumerate(codes.radii(ids, code, 10)):
+        assert (np.bitwise_count(code ^ code[i])[ids != ids[i]] <= r).sum() >= 10
+    few = fit_codes(ids[30:38], x[30:38], 10)
+    assert (few.radii(ids[30:38], code[30:38], 10) == 64).all()
+
+
+def test_only_a_small_part_is_reranked_on_clustered_vectors():
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(100, 32))
+    x = centres[np.arange(8000) % 100] + 0.05 * rng.normal(size=(8000, 32))
+    codes = fit_codes(np.arange(2000), x[:2000], 10)
+    code, tables = codes.encode(x), Substrings(codes.encode(x))
+    asked = np.arange(0, 8000, 100)
+    radii = codes.radii(asked, code[asked], 10)
+    got = [tables.within(code[q], int(r)) for q, r in zip(asked, radii, strict=True)]
+    assert np.mean([len(g) for g in got]) < 0.1 * len(x)
+    hits = [len(set(g) & set(np.argsort(((x - x[q]) ** 2).sum(axis=1))[1:11])) for q, g in zip(asked, got, strict=True)]
+    assert np.mean(hits) >= 9
+
+
 def test_every_query_gets_k_rows_on_skewed_vectors(spark):
-    """Tight clusters make the sample's radius small; outliers have no code inside it."""
+    """Radii inside tight clusters leave outliers without rows; outliers have wider ones of their own."""
     rng = np.random.default_rng(6)
     centres = rng.normal(size=(60, 32))
     vectors = [(i, centres[i % 60] + 1e-4 * rng.normal(size=32)) for i in range(3600)]
@@ -94,10 +124,12 @@ def test_every_query_gets_k_rows_on_skewed_vectors(spark):
     for i in far:
         vectors[i] = (i, 3 * rng.normal(size=32))
     sample = np.array([v for _, v in vectors])
-    codes = fit_codes(sample, 10)
+    codes = fit_codes(np.arange(3600), sample, 10)
     code = codes.encode(sample)
-    inside = [(np.bitwise_count(code ^ code[i]) <= codes.radius).sum() - 1 for i in far]
-    assert codes.radius < 64 and min(inside) < 10
+    radii = codes.radii(np.arange(3600), code, 10)
+    usual = int(np.median(radii))
+    inside = [(np.bitwise_count(code ^ code[i]) <= usual).sum() - 1 for i in far]
+    assert usual < 64 and min(inside) < 10
     got = {}
     for r in nearest(frame(spark, vectors), F.col("vec_id") % 100 == 0).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
