@@ -276,14 +276,17 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     firsts = materialize(shared.groupBy("mark", "content").agg(F.min("doc").alias("first")), "segment-firsts")
     placed = shared.join(firsts, ["mark", "content"])
     copies = placed.filter("doc > first").select("doc", "version", "lo", "hi")
-    heads = materialize(placed.filter("doc = first AND several").select("mark", "doc", "version", "lo", "hi"), "segment-heads")
+    # equal rows (same id and text) are one from here on
+    heads = materialize(placed.filter("doc = first AND several").select("mark", "doc", "version", "lo", "hi").distinct(),
+                        "segment-heads")
     sizes = heads.groupBy("mark").agg(F.count("*").alias("n"), F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b")
     sizes = materialize(sizes.select("mark", (F.col("n") > SHARD_SEGMENTS).alias("split")), "shard-sizes")
     heads = materialize(heads.join(sizes, "mark"), "segment-shards")
 
     def with_words(part: DataFrame) -> DataFrame:
         wanted = part.groupBy("doc", "version").agg(F.collect_list(F.struct("mark", "lo", "hi")).alias("wanted"))
-        return (docs.join(wanted, ["doc", "version"]).select(
+        # copies are dropped map-side, under the shuffle that the join needs anyway
+        return (docs.dropDuplicates(["doc", "version"]).join(wanted, ["doc", "version"]).select(
             "doc", "version", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"), "wanted"))
 
     spans = (with_words(heads.filter("NOT split")).mapInArrow(lambda b: _segment_words(b, window), _WORDS)
@@ -335,7 +338,7 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     Null, blank and short texts lose nothing (no words: digest of the empty
     string).  A null id is neither smaller nor larger than another: its row
     keeps everything and removes nothing.  Rows with equal ids remove nothing
-    from each other.  Empty tables give empty results; other columns are not read.
+    from each other; rows equal in id and text are searched once.  Empty tables give empty results; other columns are not read.
     """
     keyed = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"),
                         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"))

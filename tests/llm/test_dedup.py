@@ -102,6 +102,20 @@ def test_passages_empty(empty):
     assert remove_repeated_passages(empty).collect() == []
 
 
+def test_many_equal_rows_do_not_multiply(spark):
+    """Rows equal in id and text are one segment of a shard, not one per pair of rows."""
+    rng, copies = random.Random(21), 400
+    one = [f"w{rng.randrange(500)}" for _ in range(300)]
+    two = one[:100] + ["x"] + one[100:200] + ["y"] + one[200:]
+    rows = [(1, " ".join(one))] * copies + [(2, " ".join(two))] * copies
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = remove_repeated_passages(docs).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.kept_text) for r in got) == brute_passages(rows, 50)
+    assert {(r.doc_id, r.n_removed) for r in got} == {(1, 0), (2, 300)}
+    keyed = docs.selectExpr("doc_id AS doc", "xxhash64(text) AS version", "text")
+    assert substring_dedup.repeated_spans(keyed).count() <= 60 * copies
+
+
 def test_matching_statistics_are_longest_earlier_runs():
     rng = random.Random(5)
     added = [[rng.randint(0, 3) for _ in range(rng.randint(1, 40))] for _ in range(6)]
