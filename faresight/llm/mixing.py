@@ -165,7 +165,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
              p["quota_ends"], *p["perm"]) for p in plan]
     quotas = docs.sparkSession.createDataFrame(rows, _PLAN)
     placed = bucketed_starts(narrow, ["_null", "_key"], "_bucket",
-                             [F.col("_order"), F.col("_id"), F.col("size")], "size", "_start")
+                             [F.col("_order"), F.col("_id"), F.col("size"), *map(F.col, carry)], "size", "_start")
     return (placed.join(quotas, ["_null", "_key"])
             .withColumn("picks", F.expr(_picks_sql(max_epochs)))
             .select(F.col("_id").alias(id_col),

@@ -65,6 +65,60 @@ def test_mix_hits_targets_and_repeats_at_most_twice(docs, rows):
     assert {r.source: r.target for r in out} == pytest.approx(dict(zip(order, want, strict=True)))
 
 
+def independent_targets(sizes, weights, budget, epochs=2):
+    """min(epochs * size, level * weight) with the level, found by bisection, that spends the budget."""
+    budget = min(budget, sum(epochs * s for s, w in zip(sizes, weights, strict=True) if w > 0))
+    low, high = 0.0, 1.0 + max((epochs * s / w for s, w in zip(sizes, weights, strict=True)), default=0.0)
+    for _ in range(200):
+        level = (low + high) / 2
+        if sum(min(epochs * s, level * w) for s, w in zip(sizes, weights, strict=True)) < budget:
+            low = level
+        else:
+            high = level
+    return [min(epochs * s, high * w) for s, w in zip(sizes, weights, strict=True)]
+
+
+@pytest.mark.parametrize("block_words", [4, 32])
+def test_mix_targets_and_taken_word_by_word(docs, rows, block_words):
+    """Streams as lists of words, blocks as slices, one take after the other."""
+    per_source = {}
+    for doc_id, text, _, source in rows:
+        per_source.setdefault(source, []).append((doc_id, len(words(text))))
+    order = sorted(per_source, key=lambda s: (s is None, s or ""))
+    sizes = [sum(n for _, n in per_source[s]) for s in order]
+    targets = independent_targets(sizes, [(3, 1, 2)[i % 3] for i in range(len(order))], 1.5 * sum(sizes))
+    blocks = [max(1, round(n / block_words)) if n else 0 for n in sizes]
+    wanted = [t * b / n if n else 0.0 for t, b, n in zip(targets, blocks, sizes, strict=True)]
+    seats = brute_sainte_lague(wanted, [2 * b for b in blocks], round(sum(wanted)))
+
+    def place(doc_id):
+        h = xxhash.xxh64_intdigest((20).to_bytes(4, "little"), seed=xxhash.xxh64_intdigest(
+            doc_id.to_bytes(8, "little", signed=True), seed=42))
+        return (h - (1 << 64) if h >> 63 else h)
+
+    taken = Counter()
+    for i, s in enumerate(order):
+        stream = [d for d, n in sorted(per_source[s], key=lambda x: (place(x[0]) % 1024, place(x[0]), x)) for _ in range(n)]
+        if not stream:
+            continue
+        base, rem = divmod(len(stream), blocks[i])
+        cuts = [0]
+        for b in range(blocks[i]):
+            cuts.append(cuts[-1] + base + (b < rem))
+        mult, shift = mixing._permutation(blocks[i], f"20:{s!r}")
+        turn = {(mult * b + shift) % blocks[i]: b for b in range(blocks[i])}
+        assert len(turn) == blocks[i]
+        for t in range(seats[i]):
+            b = turn[t % blocks[i]]
+            taken.update(stream[cuts[b]:cuts[b + 1]])
+    out = mix_sources(docs, block_words=block_words).collect()
+    got = Counter()
+    for r in out:
+        got[r.doc_id] += r.taken
+        assert r.target == pytest.approx(targets[order.index(r.source)], abs=1e-6)
+    assert +got == taken
+
+
 def test_mix_reruns_agree_on_another_layout(docs):
     def got(d):
         return sorted((r.doc_id, r.size, r.taken) for r in mix_sources(d).collect())
