@@ -36,7 +36,11 @@ def _same_row(left: DataFrame, right: DataFrame):
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rule and the learned decision list keep."""
+    """Documents that the base rule and the learned decision list keep.
+
+    Equal rows share a verdict.  Null and blank texts have no words and are
+    rejected by the base rule; an empty table gives an empty result.
+    """
     docs = _versioned(docs.select(COLUMNS))
     verdict = quality_rules(docs, read_table(spark, sf_dir, "labels"), carry=["_version"])
     rejected = verdict.filter("NOT kept").select("doc_id", "_version").distinct()
@@ -44,7 +48,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without boilerplate lines; those that held nothing else go."""
+    """Documents without boilerplate lines; those that held nothing else go.
+
+    Repeated rows are rows of their own, null texts stay as they are; an empty
+    table gives an empty result.
+    """
     out = remove_boilerplate(docs.select(COLUMNS))
     return (out.filter((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
             .withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars"))
@@ -74,11 +82,20 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document that an epoch takes whole keeps its text; of others the taken
     words are kept in order, joined by one space.
+
+    Repeated rows are mixed each for itself: what is taken of every copy is
+    joined to the one text they share, so m equal rows give at most 2 m rows.
+    Null and blank texts hold no words and go; a null source is a source of its
+    own; an empty table gives an empty result.
     """
-    docs = _versioned(docs.select(COLUMNS))
-    mixed = mix_sources(docs, block_words=MIX_BLOCK_WORDS, carry=["_version"]).filter("taken > 0")
-    mixed = mixed.select("doc_id", "_version", "size", "picks")
-    joined = docs.join(mixed, _same_row(docs, mixed)).select(*[docs[c] for c in COLUMNS], "size", "picks")
+    # fields that are null are left out of the JSON by name, so rows that differ only in which field is null differ here
+    content = F.struct("doc_id", "lang", "source", "n_chars", F.xxhash64("text").alias("text"), F.char_length("text").alias("size"))
+    docs = docs.select(COLUMNS).withColumn("_row", F.xxhash64(F.to_json(content)))
+    mixed = (mix_sources(docs, block_words=MIX_BLOCK_WORDS, carry=["_row"]).filter("taken > 0")
+             .select("_row", "size", "picks"))
+    # written: a plain exchange on both sides lets a row of very many copies be split
+    texts = materialize(docs.dropDuplicates(["_row"]), "mix-texts")
+    joined = texts.join(mixed, "_row").select(*COLUMNS, "size", "picks")
     taken = (joined.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(MAX_EPOCHS - 1))))
              .withColumn("picks", F.expr("filter(picks, p -> p.epoch = epoch)"))
              .withColumn("taken", F.expr("aggregate(picks, 0L, (n, p) -> n + p.length)")).filter("taken > 0")
