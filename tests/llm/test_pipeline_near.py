@@ -1,6 +1,7 @@
 """The pipeline's Jaccard stage against brute force at five words and 0.8."""
 
 import random
+from collections import Counter
 
 import corpus_pipeline as pipeline
 
@@ -63,3 +64,32 @@ def test_texts_under_one_id_are_judged_by_their_own_links(spark):
                                  "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
     got = {(r.doc_id, r.text) for r in pipeline.near_duplicates(spark, docs, "").collect()}
     assert got == {(1, one), (2, two), (7, three), (None, one)}
+
+
+def test_mixing_takes_each_of_equal_rows_for_itself(spark):
+    rng = random.Random(13)
+    one, two = (" ".join(f"{g}{rng.randrange(10_000)}" for _ in range(600)) for g in "ab")
+    rows = ([(1, one, "en", "s")] * 40 + [(1, one, "en", None), (1, one, None, "s"), (1, two, "en", "s"), (None, two, "en", "s")] * 2
+            + [(3, "", "en", "s"), (4, None, "en", "s")])
+    docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    held, took = Counter(), Counter()
+    for r in rows:
+        held[r[0], r[2], r[3]] += len((r[1] or "").split())
+    out = pipeline.mix(spark, docs, "").collect()
+    for r in out:
+        took[r.doc_id, r.lang, r.source] += len(r.text.split())
+    assert len(out) <= 2 * len(rows) and all(took[x] <= 2 * held[x] for x in took)
+    # the two sources' 150 %: s takes what its weight of 3 of 4 and the rest of the capped null source give it
+    total = sum(held.values())
+    unsourced = sum(n for (_, _, s), n in held.items() if s is None)
+    want = 1.5 * total - min(2 * unsourced, 1.5 * total / 4)
+    assert abs(sum(n for (_, _, s), n in took.items() if s == "s") - want) <= 2 * pipeline.MIX_BLOCK_WORDS
+
+
+def test_stages_of_an_empty_table(spark, empty, check_dir):
+    docs = empty.select(pipeline.COLUMNS)
+    for _, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, check_dir)
+        assert out.columns == pipeline.COLUMNS and out.collect() == []
+    assert pipeline.pack(spark, docs, check_dir).collect() == []
