@@ -11,8 +11,10 @@ puts tokens that were seen often in such prefixes last.
    rows whose size has left the window, or whose positions leave too
    few tokens to reach the threshold, are skipped together; a parity bitmap
    (its differing bits bound the symmetric difference from below) skips most
-   of the rest.  What remains are candidate links.  Lists beyond ``LONG_LIST`` sets link
-   their sets by size bucket only, in one aggregation.
+   of the rest, and sets that links found before join already are not compared again.  What
+   remains are candidate links.  A list is cut into blocks of about ``LIST_BLOCK`` sets of one
+   size bucket; a task compares two blocks of the same or of neighbouring buckets, since sets
+   of other buckets differ too much in size.  Most lists are one block.
 3. Candidate links make clusters.  Inside a cluster a set's answers, its
    overlaps with all members, are derived from those of the most similar set
    computed before: add the lists of the tokens it has more, subtract those
@@ -30,7 +32,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faresight.llm.common import materialize
@@ -47,7 +49,8 @@ FREQUENT_MIN = 12
 BITMAP = 512
 #: 64-bit words of bitmaps that are compared at once; bounds a worker's memory.
 COMPARED_WORDS = 1 << 20
-LONG_LIST = 64
+#: Sets per block of a list; a task holds two blocks.
+LIST_BLOCK = 2048
 #: Sets, and shingles in them, per chunk of a cluster; a task holds two chunks.
 CHUNK, CHUNK_SHINGLES = 512, 500_000
 #: Distinct words whose hash a worker keeps.
@@ -221,8 +224,13 @@ def differing_bits(words: np.ndarray, at: np.ndarray, size: np.ndarray, a: np.nd
 
 
 def list_candidates(token: np.ndarray, n: np.ndarray, pos: np.ndarray, words: np.ndarray, at: np.ndarray,
-                    size: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row pairs of one list that no bound excludes; rows are sorted by token, size and position."""
+                    size: np.ndarray, side: np.ndarray, label: np.ndarray,
+                    percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs of one list that no bound excludes; rows are sorted by token, size and position.
+
+    Rows of one ``side`` are compared elsewhere, rows of one ``label`` are joined already; the caller may
+    join labels between two yields.
+    """
     rows = np.arange(len(token) - 1)
     step = 1
     while len(rows):
@@ -231,29 +239,52 @@ def list_candidates(token: np.ndarray, n: np.ndarray, pos: np.ndarray, words: np
         # sizes only grow along a list: a row past its size window is done with the rest of the list
         near = (token[rows] == token[other]) & (100 * n[rows] >= percent * n[other])
         rows, other = rows[near], other[near]
-        room = slack(n[rows], n[other], percent)
-        apart = np.abs(pos[rows] - pos[other]) + np.abs((n[rows] - pos[rows]) - (n[other] - pos[other]))
-        ok = apart <= room
-        a, b = rows[ok], other[ok]
-        keep = differing_bits(words, at, size, a, b) <= room[ok]
+        wanted = (label[rows] != label[other]) & (side[rows] != side[other])
+        a, b = rows[wanted], other[wanted]
+        room = slack(n[a], n[b], percent)
+        ok = np.abs(pos[a] - pos[b]) + np.abs((n[a] - pos[a]) - (n[b] - pos[b])) <= room
+        a, b, room = a[ok], b[ok], room[ok]
+        keep = differing_bits(words, at, size, a, b) <= room
         yield a[keep], b[keep]
         step += 1
 
 
+def _changes(columns: Iterable[np.ndarray]) -> np.ndarray:
+    """Whether a row differs from the row before it in any column, from the second row on."""
+    return np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+
+
 def _search_lists(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Candidate links of a partition's lists, as a forest."""
+    """Candidate links of a partition's pairs of blocks (token, i, j), as a forest; holds a batch and two blocks."""
     forest = _Forest()
 
-    def search(t: pa.Table) -> None:
+    def search(t: pa.Table, new: np.ndarray) -> None:
         t = t.combine_chunks()
-        doc = t["doc"].to_numpy()
+        doc, i, j = (t[c].to_numpy() for c in ("doc", "i", "j"))
         maps = t["bits"].to_pylist()
         size = np.array([len(m) // 8 for m in maps], dtype=np.int64)
-        for a, b in list_candidates(t["token"].to_numpy(), t["n"].to_numpy().astype(np.int64),
+        # rows of a block that is compared with itself have sides of their own
+        side = np.where(i == j, -1 - np.arange(len(doc)), t["block"].to_numpy())
+        ids, place = np.unique(doc, return_inverse=True)
+        label = np.unique([forest.find(d) for d in ids.tolist()], return_inverse=True)[1][place]
+        up = np.arange(len(ids))
+        for a, b in list_candidates(np.concatenate(([0], np.cumsum(new))), t["n"].to_numpy().astype(np.int64),
                                     t["pos"].to_numpy().astype(np.int64), np.frombuffer(b"".join(maps), dtype=np.uint64),
-                                    np.cumsum(size) - size, size, percent):
-            for x, y in set(zip(doc[a].tolist(), doc[b].tolist(), strict=True)):
-                forest.union(x, y)
+                                    np.cumsum(size) - size, size, side, label, percent):
+            if not len(a):
+                continue
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                p, q = int(label[x]), int(label[y])
+                while up[p] != p:
+                    p = int(up[p])
+                while up[q] != q:
+                    q = int(up[q])
+                if p != q:
+                    up[max(p, q)] = min(p, q)
+                    forest.union(int(doc[x]), int(doc[y]))
+            while (up[up] != up).any():
+                up = up[up]
+            label[:] = up[label]
 
     rest: pa.Table | None = None
     for b in batches:
@@ -261,14 +292,14 @@ def _search_lists(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[p
             continue
         t = pa.Table.from_batches([b])
         t = t if rest is None else pa.concat_tables([rest, t])
-        token = t["token"].to_numpy()
-        cut = int(np.searchsorted(token != token[-1], False)) if token[0] == token[-1] else \
-            int(np.nonzero(token != token[-1])[0][-1]) + 1
+        new = _changes(t[c].to_numpy() for c in ("token", "i", "j"))
+        ends = np.nonzero(new)[0]
+        cut = int(ends[-1]) + 1 if len(ends) else 0
         if cut:
-            search(t.slice(0, cut))
+            search(t.slice(0, cut), new[:cut - 1])
         rest = t.slice(cut)
     if rest is not None and rest.num_rows:
-        search(rest)
+        search(rest, np.zeros(rest.num_rows - 1, dtype=bool))
     edges = forest.edges()
     if edges is not None:
         yield edges
@@ -340,6 +371,30 @@ def _as_sets(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Record
                                          ["doc", "root", "chunks", "shingles"])
 
 
+def _dealt_lists(entries: DataFrame, lengths: DataFrame, percent: int) -> DataFrame:
+    """Rows of every list by the pairs of blocks (token, i, j) that a task compares, sorted by size and position."""
+    # sets that can link fall into one size bucket or into neighbours
+    width = math.log(100 / percent) + 1e-9
+    entries = entries.withColumn("bucket", F.floor(F.log(F.col("n").cast("double")) / F.lit(width)))
+    long = lengths.filter(F.col("entries") > LIST_BLOCK).select("token")
+    along = Window.partitionBy("token").orderBy("bucket")
+    cells = (entries.join(long, "token").groupBy("token", "bucket")
+             .agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"))
+             .withColumn("start", (F.sum("blocks").over(along) - F.col("blocks")).cast("int"))
+             .withColumn("below", F.when(F.lag("bucket").over(along) == F.col("bucket") - 1, F.lag("start").over(along)))
+             .withColumn("above", F.when(F.lead("bucket").over(along) == F.col("bucket") + 1, F.lead("blocks").over(along)))
+             .select("token", "bucket", "blocks", "start", F.coalesce("below", "start").alias("lo"),
+                     (F.col("start") + F.col("blocks") - 1 + F.coalesce("above", F.lit(0))).alias("hi")))
+    none = F.lit(0)
+    mine = F.coalesce("start", none) + F.pmod(F.xxhash64("doc"), F.coalesce("blocks", F.lit(1))).cast("int")
+    return (entries.join(lengths, "token").join(materialize(cells, "jaccard-cells"), ["token", "bucket"], "left")
+            .withColumn("block", mine)
+            .withColumn("other", F.explode(F.sequence(F.coalesce("lo", none), F.coalesce("hi", none))))
+            .select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
+                    "doc", "n", "pos", "bits")
+            .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "pos", "doc"))
+
+
 def candidate_clusters(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(doc, n, rep of its class) for all documents, and (node, root) of candidate links between reps."""
     spark = docs.sparkSession
@@ -361,18 +416,7 @@ def candidate_clusters(docs: DataFrame, size: int, percent: int) -> tuple[DataFr
     entries = materialize(index.join(lists, "token").join(
         members.filter("bits IS NOT NULL").select("doc", "bits"), "doc").distinct(), "jaccard-entries")
     lengths = materialize(entries.groupBy("token").agg(F.count("*").alias("entries")).filter("entries > 1"), "jaccard-lists")
-    sized = entries.join(lengths, "token")
-    short = (sized.filter(F.col("entries") <= LONG_LIST).select("token", "doc", "n", "pos", "bits")
-             .repartition("token").sortWithinPartitions("token", "n", "pos", "doc")
-             .mapInArrow(lambda b: _search_lists(b, percent), _EDGES))
-    # sets of similar size fall into one bucket or into neighbours
-    bucket = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent) + 1e-9)).cast("int")
-    long = materialize(sized.filter(F.col("entries") > LONG_LIST).select("token", "doc", bucket.alias("bucket")), "jaccard-long")
-    pivots = long.groupBy("token", "bucket").agg(F.min("doc").alias("pivot"))
-    by_bucket = long.join(pivots, ["token", "bucket"]).select(F.col("doc").alias("a"), F.col("pivot").alias("b"))
-    next_bucket = pivots.withColumn("bucket", F.col("bucket") + 1).withColumnRenamed("pivot", "below")
-    between = pivots.join(next_bucket, ["token", "bucket"]).select(F.col("pivot").alias("a"), F.col("below").alias("b"))
-    return members, components(short.unionByName(by_bucket).unionByName(between))
+    return members, components(_dealt_lists(entries, lengths, percent).mapInArrow(lambda b: _search_lists(b, percent), _EDGES))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

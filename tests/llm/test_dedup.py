@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from faresight.llm import jaccard_join, line_spread, substring_dedup
 from faresight.llm.graph import components
@@ -161,9 +162,9 @@ def brute_components(rows, percent):
     return Counter((d, len(s), find(d)) for d, s in sets)
 
 
-@pytest.mark.parametrize(("long_list", "chunk"), [(64, 64), (2, 3)])
-def test_jaccard_matches_brute_force(docs, long_list, chunk, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "LONG_LIST", long_list)
+@pytest.mark.parametrize(("block", "chunk"), [(64, 64), (2, 3)])
+def test_jaccard_matches_brute_force(docs, block, chunk, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LIST_BLOCK", block)
     monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     got = jaccard_components(docs).collect()
@@ -184,6 +185,39 @@ def test_jaccard_chain_and_threshold_ties(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, 90)
 
 
+@pytest.mark.parametrize("block", [7, 2048])
+def test_a_list_in_blocks_is_searched_whole(spark, block, monkeypatch):
+    """One token that 150 sets of many sizes hold: chains of near sizes, unlike sets and a group of near copies."""
+    monkeypatch.setattr(jaccard_join, "LIST_BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "FREQUENT_TOKENS", 1)
+    rng = random.Random(6)
+    common = "the very same"
+    rows = [(i, " ".join([common, *[f"a{j}" for j in range(4 + i)]])) for i in range(50)]
+    rows += [(100 + i, " ".join([common, *[f"b{rng.randrange(10**6)}" for _ in range(4 + i)]])) for i in range(50)]
+    near = [f"c{j}" for j in range(60)]
+    rows += [(200 + i, " ".join([common, *near[:50 + i % 7], f"d{i}"])) for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard_components(frame).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, 90)
+    assert 2 < len({r.component_id for r in got}) < 150
+
+
+def test_block_pairs_meet_once(spark, monkeypatch):
+    """Every two sets of a list whose sizes can link meet in one task that may compare them."""
+    monkeypatch.setattr(jaccard_join, "LIST_BLOCK", 5)
+    rows = [(7, d, 1 + d % 40, 0, b"") for d in range(90)] + [(8, d, 10, 0, b"") for d in range(4)]
+    entries = spark.createDataFrame(rows, "token long, doc long, n int, pos int, bits binary")
+    lengths = entries.groupBy("token").agg(F.count("*").alias("entries"))
+    groups = {}
+    for r in jaccard_join._dealt_lists(entries, lengths, 90).collect():
+        groups.setdefault((r.token, r.i, r.j), []).append((r.doc, r.block))
+    met = Counter((t, *sorted((a, b))) for (t, i, j), g in groups.items() for x, (a, p) in enumerate(g)
+                  for b, q in g[:x] if i == j or p != q)
+    assert set(met.values()) == {1}
+    assert all((t, a, b) in met for t, a, n, *_ in rows for u, b, m, *_ in rows
+               if t == u and a < b and 100 * min(n, m) >= 90 * max(n, m))
+
+
 def test_jaccard_null_ids_and_empty(with_null_id, empty):
     got = [r for r in jaccard_components(with_null_id).collect() if r.doc_id is None]
     assert len(got) == 2 and all(r.component_id is None and r.n_shingles > 50 for r in got)
