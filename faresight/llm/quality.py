@@ -48,17 +48,15 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``id_col``, the columns ``carry`` and the statistics of each whole text, all long.
 
     ``n_repeat_words`` counts the words inside 5-word windows that occur twice
-    or more in the text.  Windows are sorted as longs that hold a hash in the
-    high bits and the position in the bits the text's length needs; equal
-    neighbours are then compared word by word, so the cost is n log n and a
+    or more in the text.  Windows are sorted by hash and position; neighbours
+    of one hash are then compared word by word, so the cost is n log n and a
     long repetitive text never meets a lookup per pair.
     """
     k = REPEAT_WINDOW
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     window_hash = ", ".join(f"_h[i + {j}]" for j in range(k))
-    same = ("(shiftright({a}, _bits) = shiftright({b}, _bits) AND "
-            f"slice(_h, int({{a}} & _mask) + 1, {k}) = slice(_h, int({{b}} & _mask) + 1, {k}))")
+    same = f"({{a}}.hash = {{b}}.hash AND slice(_h, {{a}}.at + 1, {k}) = slice(_h, {{b}}.at + 1, {k}))"
     twin = (f"(i > 0 AND {same.format(a='x', b='_keys[i - 1]')}) OR "
             f"(i < size(_keys) - 1 AND {same.format(a='x', b='_keys[i + 1]')})")
     own = [id_col, *carry]
@@ -70,12 +68,11 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
                     F.transform("_words", lambda w: F.xxhash64(w)).alias("_h"))
             .withColumn("n_distinct_words", F.size(F.array_distinct("_h")).cast("long"))
-            .withColumn("_bits", F.ceil(F.log2(F.size("_h") + F.lit(1))).cast("int"))
-            .withColumn("_mask", F.expr("shiftleft(1L, _bits) - 1L"))
             .withColumn("_keys", F.expr(
                 f"IF(size(_h) > {k}, sort_array(transform(sequence(0, size(_h) - {k}), "
-                f"i -> shiftleft(xxhash64({window_hash}), _bits) | bigint(i))), cast(array() as array<bigint>))"))
-            .withColumn("_at", F.expr(f"sort_array(transform(filter(_keys, (x, i) -> {twin}), x -> x & _mask))"))
+                f"i -> named_struct('hash', xxhash64({window_hash}), 'at', i))), "
+                "cast(array() as array<struct<hash: bigint, at: int>>))"))
+            .withColumn("_at", F.expr(f"sort_array(transform(filter(_keys, (x, i) -> {twin}), x -> bigint(x.at)))"))
             .withColumn("n_repeat_words", F.expr(
                 f"aggregate(_at, named_struct('last', bigint(-{k}), 'n', 0L), (s, x) -> "
                 f"named_struct('last', x, 'n', s.n + least({k}L, x - s.last)), s -> s.n)"))
