@@ -1,8 +1,11 @@
 """Steps that must stay small as tables grow: what they shuffle, and how they are compiled."""
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tables import SF001
+from faresight.operators import iforest, segment
 from faresight.operators.customers import customer_features, row_inputs, with_customer_windows
 from faresight.session import METHOD_BYTES
 from faresight.sources import candidates
@@ -43,3 +46,38 @@ def test_customer_without_selection_keeps_its_values(spark):
     got = customer_features(c.filter(F.col("profileId") == one).withColumn("selected", F.lit(0))).first()
     assert got["total_flights_searched"] == c.filter(F.col("profileId") == one).count()
     assert (got["consistent_price_tier"], got["baggage_qty_preference"], got["avg_cabin_class"]) == (1.0, 0.0, 0.0)
+
+
+def test_quantiles_tally_few_values(spark, monkeypatch):
+    """Exact against numpy, and what is shuffled is a small part of the values."""
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=200_000), np.round(rng.exponential(size=200_000), 1)
+    table = staged(spark.createDataFrame(pd.DataFrame({"a": a, "b": b, "c": 1.0})).select(
+        "*", F.lit(None).cast("double").alias("d"), F.when(F.col("a") > 0, F.lit(float("nan"))).otherwise(F.col("a")).alias("e"),
+        F.when(F.col("a") > 1, F.col("b")).alias("f")), "columns")
+    written = {}
+    monkeypatch.setattr(segment, "staged", lambda df, name: written.setdefault(name, staged(df, name)))
+    got = {r["name"]: (r["q0"], r["q1"], r["q2"]) for r in segment.column_quantiles(table, list("abcdef")).collect()}
+    for name, values in (("a", a), ("b", b), ("c", np.ones(1)), ("f", b[a > 1])):
+        np.testing.assert_allclose(got[name], np.quantile(values, [0.25, 0.5, 0.75]), rtol=1e-12)
+    assert got["d"] == (None, None, None)
+    assert got["e"][0] == np.sort(a)[49_999] + 0.75 * (np.sort(a)[50_000] - np.sort(a)[49_999]) and np.isnan(got["e"][2])
+    assert written["quantiles"].filter("name = 'a'").count() < 10_000
+
+
+def test_forest_walk_of_all_trees_equals_each_row_alone():
+    rng = np.random.default_rng(5)
+    trees = [iforest._grow(pd.DataFrame(rng.normal(size=(64, 3)), columns=list("xyz")).assign(_tree=t), list("xyz"), 6, 1) for t in range(9)]
+    x = rng.normal(size=(200, 3))
+    x[0, 1] = np.nan
+
+    def alone(row):
+        total = 0.0
+        for t in trees:
+            node, depth = t.iloc[0], 0
+            while node["feature"] >= 0:
+                node, depth = t.iloc[int(node["left"] if row[int(node["feature"])] < node["threshold"] else node["right"])], depth + 1
+            total += depth + iforest._c(node["size"])
+        return total
+
+    assert iforest._path_lengths(x, *iforest._flat(trees)).tolist() == [alone(row) for row in x]
