@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tables import SF001
-from faresight.operators import iforest, segment
+from faresight.operators import clustering, iforest, segment
 from faresight.operators.customers import customer_features, row_inputs, with_customer_windows
 from faresight.session import METHOD_BYTES
 from faresight.sources import candidates
@@ -81,3 +81,12 @@ def test_forest_walk_of_all_trees_equals_each_row_alone():
         return total
 
     assert iforest._path_lengths(x, *iforest._flat(trees)).tolist() == [alone(row) for row in x]
+
+
+def test_moments_of_all_models_share_the_products():
+    rng = np.random.default_rng(7)
+    x, resp = rng.normal(size=(2_500, 4)), {"a": rng.random((2_500, 3)), "b": rng.random((2_500, 2))}
+    got = clustering._moments(resp, x)
+    for name, r in resp.items():
+        want = np.hstack([r.sum(0)[:, None], r.T @ x, np.einsum("nk,ni,nj->kij", r, x, x).reshape(r.shape[1], 16)])
+        np.testing.assert_allclose(got[name], want, rtol=1e-10, atol=1e-9)
